@@ -10,6 +10,7 @@ from holdshort.catalog.sql import CAT, FLT, HP, MSG, POS, VEL, WAITS, located, s
 from holdshort.catalog.tables import messages, pick, table, wait_rows
 from holdshort.operators import cleaning, movements, projections, scenarios
 from holdshort.plans import features as plan
+from holdshort.session import freeze
 
 DAY_S = 86400
 HOUR_S = 3600
@@ -253,7 +254,7 @@ TEST_SETTINGS = plan.Settings(callsign_tolerance_s=DAY_S, speed_tolerance_s=HOUR
   time_before_holding_point, time_at_holding_point, wake_category AS turbulence_category FROM held""")
 def _select_final(spark, sf):
     m = messages(spark, sf)
-    held = plan.waits(m, plan.located_positions(m, TEST_SETTINGS), TEST_SETTINGS)
+    held = plan.waits(m, freeze(plan.located_positions(m, TEST_SETTINGS)), TEST_SETTINGS)
     missing = {"last_min_takeoffs": F.lit(0), "last_event": F.lit(None).cast("string"), "last_min_landings": F.lit(0),
                "last_event_turb_cat": F.lit("N/C"), "time_since_last_event_seconds": F.lit(0), "event_ts": F.col("ts"),
                "operator": F.substring("callsign", 1, 3)}

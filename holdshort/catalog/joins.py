@@ -11,6 +11,7 @@ from holdshort.catalog.sql import CAT, ERR, FLT, MSG, POS, VEL, events, located,
 from holdshort.catalog.tables import RUNWAY_SPOTS, messages, meteo, wait_rows
 from holdshort.operators import joins, movements, projections, reports
 from holdshort.plans import features as plan
+from holdshort.session import freeze
 
 
 @query("interval_join", f"""WITH {MSG}, {POS}, {FLT},
@@ -72,7 +73,7 @@ def _join_categories(spark, sf):
 
 
 def located_rows(spark, sf):
-    return plan.located_positions(messages(spark, sf), TEST_SETTINGS)
+    return freeze(plan.located_positions(messages(spark, sf), TEST_SETTINGS))
 
 
 @query("assign_holding_point", f"WITH {located(DAY_S)} SELECT epoch_us(ts) AS ts, icao, designator, runway FROM loc")
@@ -94,7 +95,7 @@ def _semi_valid_flights(spark, sf):
 @query("semi_stopped", FINAL + " SELECT epoch_us(ts) AS ts, icao, callsign, epoch_us(first_holding_time) AS first_holding_time, speed FROM kept")
 def _semi_stopped(spark, sf):
     m = messages(spark, sf)
-    segment_rows = movements.flight_window(plan.located_positions(m, TEST_SETTINGS))
+    segment_rows = movements.flight_window(located_rows(spark, sf))
     fast = joins.nearest_within(segment_rows, projections.velocities(m), ["icao"], HOUR_S, ["speed"])
     return movements.semi_stopped(fast).select(micros("ts"), "icao", "callsign", micros("first_holding_time"), "speed")
 
@@ -178,11 +179,11 @@ def _join_meteo_prefixed(spark, sf):
 
 SPOTS = ", ".join(f"('{n}', {num(la)}, {num(lo)})" for n, la, lo in airport.NUMBERED_RUNWAYS)
 NEAREST = f"(SELECT min_by(name, (l.lat - plat) * (l.lat - plat) + (l.lon - plon) * (l.lon - plon)) FROM (VALUES {SPOTS}) s(name, plat, plon))"
-WT = f"""air AS (SELECT icao, callsign, ts, lat, lon FROM (SELECT *, row_number() OVER (PARTITION BY icao, callsign ORDER BY ts, lat, lon) AS k
+WT = f"""off AS (SELECT icao, callsign, ts, lat, lon FROM (SELECT *, row_number() OVER (PARTITION BY icao, callsign ORDER BY ts, lat, lon) AS k
   FROM st WHERE flight_status = 'airborne') WHERE k = 1),
 wt AS (SELECT l.callsign, l.icao, g.ts AS ts_ground, l.ts AS ts_airborne, l.lat, l.lon, {NEAREST} AS runway,
   CAST({sec('l.ts')} - {sec('g.ts')} AS DOUBLE) AS wait_s, strftime(l.ts, '%a') AS day_of_week
-  FROM air l JOIN (SELECT icao, callsign, min(ts) AS ts FROM st WHERE flight_status = 'on-ground' AND speed = 0 GROUP BY ALL) g
+  FROM off l JOIN (SELECT icao, callsign, min(ts) AS ts FROM st WHERE flight_status = 'on-ground' AND speed = 0 GROUP BY ALL) g
   ON l.icao = g.icao AND l.callsign = g.callsign WHERE l.ts > g.ts)"""
 
 

@@ -75,8 +75,8 @@ def great_circle(lat1, lon1, lat2, lon2) -> str:
 
 
 def haversine(lat1, lon1, lat2, lon2) -> str:
-    return (f"(12756e0 * asin(least(1e0, sqrt(pow(sin(radians({lat2} - {lat1}) / 2), 2) + cos(radians({lat1})) * "
-            f"cos(radians({lat2})) * pow(sin(radians({lon2} - {lon1}) / 2), 2)))))")
+    return (f"(12756e0 * asin(sqrt(pow(sin(radians({lat2} - {lat1}) / 2), 2) + cos(radians({lat1})) * "
+            f"cos(radians({lat2})) * pow(sin(radians({lon2} - {lon1}) / 2), 2))))")
 
 
 CENTRE = great_circle(num(airport.CENTRE[0]), num(airport.CENTRE[1]), "lat", "lon")

@@ -10,11 +10,12 @@ Two ideas are used throughout the library:
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from holdshort.functions.timing import epoch_s, slot
+from holdshort.functions.timing import slot
 from holdshort.session import freeze
 
 SPLITS = 8
@@ -33,6 +34,13 @@ def spread_join(big: DataFrame, small: DataFrame, on: Sequence[str], how: str =
     return dealt.join(repeated, [*on, "_split"], how).drop("_split")
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Inner equi-join in which null keys match each other."""
+    renamed = right.withColumnsRenamed({c: f"_right_{c}" for c in on})
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_right_{c}")) for c in on])
+    return left.join(renamed, same).drop(*[f"_right_{c}" for c in on])
+
+
 def one_per_instant(df: DataFrame, keys: Sequence[str], ts: str = "ts") -> DataFrame:
     """Keep one row per (keys, ts), the one with the smallest remaining columns (in column order)."""
     rest = [c for c in df.columns if c not in keys and c != ts]
@@ -105,8 +113,7 @@ def number_rows(df: DataFrame, order: Sequence[Column | str], keys: Sequence[str
     earlier = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     shifts = sizes.select(*keys, "_piece", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     within = Window.partitionBy(*keys, "_piece").orderBy(*order)
-    same = [pieces[c].eqNullSafe(shifts[c]) for c in (*keys, "_piece")]
-    joined = pieces.join(shifts, same).drop(*[shifts[c] for c in (*keys, "_piece")])
+    joined = null_safe_join(pieces, shifts, [*keys, "_piece"])
     return joined.withColumn(name, F.row_number().over(within) + F.col("_before")).drop("_piece", "_before")
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from holdshort.functions.timing import WEEKDAYS
-from holdshort.operators.spread import number_rows, spread_join
+from holdshort.operators.spread import null_safe_join, number_rows, spread_join
 
 HOURS = list(range(24))
 
@@ -91,9 +91,8 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
     wanted = wanted.select(*by, "prob", (at - F.floor(at)).alias("_part"), (F.floor(at) + 1).alias("_lo"))
     sides = wanted.withColumn("_side", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn(
         "_rank", (F.col("_lo") + F.col("_side")).cast("long"))
-    cond = [ranked[c].eqNullSafe(sides[c]) for c in by] + [ranked["_rank"] == sides["_rank"]]
-    near = ranked.join(sides, cond).select(
-        *[sides[c] for c in by], "prob", "_part", "_side", F.col(value).cast("double").alias("_v"))
+    near = null_safe_join(ranked, sides, [*by, "_rank"]).select(
+        *by, "prob", "_part", "_side", F.col(value).cast("double").alias("_v"))
     low = F.max(F.when(F.col("_side") == 0, F.col("_v")))
     high = F.max(F.when(F.col("_side") == 1, F.col("_v")))
     part = F.max("_part")
