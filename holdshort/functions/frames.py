@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from holdshort import airport
@@ -64,42 +64,39 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def frame_hex(message="message") -> Column:
-    """Upper-case hexadecimal text of a base64 frame of 7 or 14 bytes; null otherwise."""
-    text = F.hex(F.try_to_binary(_col(message), F.lit("base64")))
-    return F.when(F.length(text).isin(14, 28), text)
+def frame_text(message="message") -> Column:
+    """Upper-case hexadecimal text of a base64 frame; null if it is not base64."""
+    return F.hex(F.try_to_binary(_col(message), F.lit("base64")))
 
 
 def _number(text: Column) -> Column:
     return F.conv(text, 16, 10).cast("long")
 
 
-def _bits(number: Column, size: int, first: int, count: int) -> Column:
+def _bits(number, size: int, first: int, count: int) -> Column:
     """`count` bits of a `size`-bit number starting at bit `first` (1 is the highest)."""
-    return F.shiftright(number, size - first - count + 1).bitwiseAND(F.lit((1 << count) - 1))
+    return F.shiftright(_col(number), size - first - count + 1).bitwiseAND(F.lit((1 << count) - 1))
 
 
-def _byte(hex_text, index: int) -> Column:
-    return _number(F.substring(_col(hex_text), 2 * index + 1, 2))
+def with_frame_parts(rows: DataFrame, message: str = "message") -> DataFrame:
+    """Add the parts of a frame that the field expressions below read, each worked out once per row:
 
-
-def payload(hex_text="hex") -> Column:
-    """The 56-bit message field of an extended squitter as a number."""
-    text = _col(hex_text)
-    return F.when((F.length(text) == 28) & downlink_format(text).isin(17, 18), _number(F.substring(text, 9, 14)))
-
-
-def downlink_format(hex_text="hex") -> Column:
-    return F.least(F.shiftright(_byte(hex_text, 0), 3), F.lit(24)).cast("int")
+    hex (7 or 14 bytes, else null), downlink_format, head (first four bytes as a number), me (the 56-bit message field
+    of an extended squitter) and tc (its type code).
+    """
+    rows = rows.withColumn("hex", frame_text(message))
+    rows = rows.withColumn("hex", F.when(F.length("hex").isin(7 * 2, 14 * 2), F.col("hex")))
+    rows = rows.withColumn("head", _number(F.substring("hex", 1, 8)))
+    df = _bits("head", 32, 1, 5)
+    rows = rows.withColumn("downlink_format", F.when(df > 24, 24).otherwise(df).cast("int"))
+    squitter = F.col("downlink_format").isin(17, 18) & (F.length("hex") == 28)
+    rows = rows.withColumn("me", F.when(squitter, _number(F.substring("hex", 9, 14))))
+    return rows.withColumn("tc", _bits("me", 56, 1, 5).cast("int"))
 
 
-def icao_address(hex_text="hex") -> Column:
+def icao_address(hex_text="hex", df="downlink_format") -> Column:
     """Address in the clear (formats 11, 17, 18)."""
-    return F.when(downlink_format(hex_text).isin(11, 17, 18), F.substring(_col(hex_text), 3, 6))
-
-
-def typecode(hex_text="hex") -> Column:
-    return _bits(payload(hex_text), 56, 1, 5).cast("int")
+    return F.when(_col(df).isin(11, 17, 18), F.substring(_col(hex_text), 3, 6))
 
 
 def message_kinds(df="downlink_format") -> Column:
@@ -118,45 +115,43 @@ def _lookup(c: Column, table: dict) -> Column:
     return out
 
 
-def flight_status(hex_text="hex", compat: bool = False) -> Column:
+def flight_status(head="head", df="downlink_format", tc="tc", hex_text="hex", compat: bool = False) -> Column:
     """Ground or air: by position and velocity type codes, else by the flight-status or capability field.
 
     The field is the last three bits of the first byte. `compat` reads the top three bits of the fifth byte instead,
     as tables decoded by older tools did.
     """
-    field = F.shiftright(_byte(hex_text, 4), 5) if compat else _byte(hex_text, 0).bitwiseAND(F.lit(7))
-    df, tc = downlink_format(hex_text), typecode(hex_text)
+    field = _bits(_number(F.substring(_col(hex_text), 9, 2)), 8, 1, 3) if compat else _bits(head, 32, 6, 3)
+    df, tc = _col(df), _col(tc)
     by_field = (F.when(df.isin(17, 18), _lookup(field, STATUS_BY_CA))
                 .when(df.isin(4, 5, 20, 21), _lookup(field, STATUS_BY_FS)))
     return F.when(tc.between(5, 8), ON_GROUND).when(tc.between(9, 22), AIRBORNE).otherwise(by_field)
 
 
-def wake_category(hex_text="hex", compat: bool = False) -> Column:
+def wake_category(me="me", tc="tc", hex_text="hex", compat: bool = False) -> Column:
     """Aircraft category of an identification message; type code 1 counts as category 0.
 
     `compat` takes the category from the top bits of the fifth byte of the hexadecimal text read as base64.
     """
-    tc = typecode(hex_text)
+    tc = _col(tc)
     if compat:
-        again = F.hex(F.try_to_binary(_col(hex_text), F.lit("base64")))
-        field = F.shiftright(_byte(again, 4), 5)
+        field = _bits(_number(F.substring(frame_text(hex_text), 9, 2)), 8, 1, 3)
     else:
-        field = _bits(payload(hex_text), 56, 6, 3)
+        field = _bits(me, 56, 6, 3)
     field = F.when(tc == 1, 0).otherwise(field)
     return _lookup(tc * 8 + field, {t * 8 + c: name for (t, c), name in CATEGORIES.items()})
 
 
-def callsign(hex_text="hex") -> Column:
+def callsign(me="me", tc="tc") -> Column:
     """Eight characters of an identification message (type codes 1 to 4)."""
-    me = payload(hex_text)
     chars = [F.substring(F.lit(CHARSET), (_bits(me, 56, 9 + 6 * i, 6) + 1).cast("int"), F.lit(1)) for i in range(8)]
-    return F.when(typecode(hex_text).between(1, 4), F.concat(*chars))
+    return F.when(_col(tc).between(1, 4), F.concat(*chars))
 
 
-def altitude_ft(hex_text="hex") -> Column:
+def altitude_ft(head="head", df="downlink_format", me="me", tc="tc") -> Column:
     """Altitude in feet: formats 4 and 20, and position messages. 100-foot Gray codes give null."""
-    df, tc, me = downlink_format(hex_text), typecode(hex_text), payload(hex_text)
-    code = _number(F.substring(_col(hex_text), 5, 4)).bitwiseAND(F.lit(0x1FFF))
+    df, tc = _col(df), _col(tc)
+    code = _bits(head, 32, 20, 13)
     metric, fine = _bits(code, 13, 7, 1) == 1, _bits(code, 13, 9, 1) == 1
     steps = _bits(code, 13, 1, 6) * 32 + _bits(code, 13, 8, 1) * 16 + _bits(code, 13, 10, 4)
     metres = _bits(code, 13, 1, 6) * 64 + _bits(code, 13, 8, 6)
@@ -169,20 +164,19 @@ def altitude_ft(hex_text="hex") -> Column:
     return height.cast("double")
 
 
-def squawk(hex_text="hex") -> Column:
+def squawk(head="head", df="downlink_format") -> Column:
     """Four octal digits of formats 5 and 21."""
-    code = _number(F.substring(_col(hex_text), 5, 4)).bitwiseAND(F.lit(0x1FFF))
+    code = _bits(head, 32, 20, 13)
     bit = lambda i: _bits(code, 13, i, 1)
     # order of the 13 bits: C1 A1 C2 A2 C4 A4 X B1 D1 B2 D2 B4 D4
     digits = [bit(6) * 4 + bit(4) * 2 + bit(2), bit(12) * 4 + bit(10) * 2 + bit(8),
               bit(5) * 4 + bit(3) * 2 + bit(1), bit(13) * 4 + bit(11) * 2 + bit(9)]
-    return F.when(downlink_format(hex_text).isin(5, 21), F.concat(*[d.cast("string") for d in digits]))
+    return F.when(_col(df).isin(5, 21), F.concat(*[d.cast("string") for d in digits]))
 
 
-def velocity(hex_text="hex") -> Column:
+def velocity(me="me", tc="tc") -> Column:
     """Struct (speed kt, angle deg, vertical_rate ft/min, speed_type) of surface and velocity messages."""
-    me, tc = payload(hex_text), typecode(hex_text)
-
+    tc = _col(tc)
     code = _bits(me, 56, 6, 7)
     ground_speed = None
     for first, last, base, step in MOVEMENT:
@@ -219,8 +213,9 @@ def longitude_zones(lat) -> Column:
     """Number of longitude zones at a latitude, 1 to 59."""
     c = F.abs(_col(lat))
     cos = F.cos(F.radians(c))
-    arc = 1 - (1 - math.cos(math.pi / 30)) / (cos * cos)
-    inner = F.floor(F.lit(2 * math.pi) / F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), arc))))
+    arc = 1 - F.try_divide(F.lit(1 - math.cos(math.pi / 30)), cos * cos)
+    # a null latitude has a null arc; greatest() would skip it
+    inner = F.floor(F.try_divide(F.lit(2 * math.pi), F.acos(F.when(arc < -1, -1.0).otherwise(arc))))
     return F.when(c == 0, 59).when(c == 87, 2).when(c > 87, 1).otherwise(inner).cast("int")
 
 
@@ -232,15 +227,21 @@ def _nearest_cell(reference, size: Column, fraction: Column) -> Column:
     return size * (cell + F.floor(within - fraction + 0.5) + fraction)
 
 
-def position(hex_text="hex", reference=airport.RADAR, digits: int = 5) -> Column:
-    """Struct (lat, lon) of surface and airborne position messages, resolved near a reference point."""
-    me, tc = payload(hex_text), typecode(hex_text)
-    surface = tc.between(5, 8)
-    odd = _bits(me, 56, 22, 1)
+def with_position(rows: DataFrame, reference=airport.RADAR, digits: int = 5, me="me", tc="tc") -> DataFrame:
+    """Add lat and lon of surface and airborne position messages, resolved near a reference point.
+
+    The number of longitude zones needs the latitude, so the latitude is a column of its own first.
+    """
+    tc = _col(tc)
+    surface, odd = tc.between(5, 8), _bits(me, 56, 22, 1)
+    placed = surface | tc.between(9, 18)
+    span = F.when(surface, 90.0).when(placed, 360.0)
+    rows = rows.withColumns({"_span": span, "_odd": odd})
     lat_part, lon_part = _bits(me, 56, 23, 17) / F.lit(131072.0), _bits(me, 56, 40, 17) / F.lit(131072.0)
-    span = F.when(surface, 90.0).otherwise(360.0)
-    lat = _nearest_cell(reference[0], span / (60 - odd), lat_part)
-    zones = longitude_zones(lat) - odd
-    lon = _nearest_cell(reference[1], F.when(zones > 0, span / zones).otherwise(span), lon_part)
-    place = F.struct(F.round(lat, digits).alias("lat"), F.round(lon, digits).alias("lon"))
-    return F.when(surface | tc.between(9, 18), place)
+    rows = rows.withColumn("_cell", F.col("_span") / (60 - F.col("_odd")))
+    rows = rows.withColumn("_lat", _nearest_cell(reference[0], F.col("_cell"), lat_part))
+    rows = rows.withColumn("_zones", longitude_zones("_lat") - F.col("_odd"))
+    rows = rows.withColumn("_cell", F.col("_span") / F.when(F.col("_zones") > 0, F.col("_zones")).otherwise(1))
+    lon = _nearest_cell(reference[1], F.col("_cell"), lon_part)
+    rows = rows.withColumns({"lat": F.round("_lat", digits), "lon": F.round(lon, digits)})
+    return rows.drop("_span", "_odd", "_cell", "_lat", "_zones")

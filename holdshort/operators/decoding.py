@@ -12,29 +12,26 @@ from holdshort.functions.timing import from_epoch_ms
 def decode_messages(raw: DataFrame, compat: bool = False, reference=None) -> DataFrame:
     """Decode (message, ts_kafka). A frame that cannot be read keeps its row with null fields.
 
-    The fields are worked out in two steps, so that the text and its type code are computed once per row.
+    Text, payload and type code are columns before the fields are, so they are worked out once per row.
     """
     where = {} if reference is None else {"reference": reference}
-    texts = raw.withColumn("hex", frames.frame_hex("message"))
-    out = texts.withColumns({
+    parts = frames.with_position(frames.with_frame_parts(raw), **where)
+    out = parts.withColumns({
         "ts": from_epoch_ms("ts_kafka"),
-        "downlink_format": frames.downlink_format("hex"),
-        "icao": frames.icao_address("hex"),
-        "typecode": frames.typecode("hex").cast("double"),
-        "flight_status": frames.flight_status("hex", compat),
-        "wake_category": frames.wake_category("hex", compat),
-        "callsign": frames.callsign("hex"),
-        "_pos": frames.position("hex", **where),
-        "_vel": frames.velocity("hex"),
-        "altitude_ft": frames.altitude_ft("hex"),
-        "squawk": frames.squawk("hex"),
+        "kinds": frames.message_kinds("downlink_format"),
+        "icao": frames.icao_address(),
+        "typecode": F.col("tc").cast("double"),
+        "flight_status": frames.flight_status(compat=compat),
+        "wake_category": frames.wake_category(compat=compat),
+        "callsign": frames.callsign(),
+        "altitude_ft": frames.altitude_ft(),
+        "squawk": frames.squawk(),
+        "_vel": frames.velocity(),
     })
     return out.withColumns({
-        "kinds": frames.message_kinds("downlink_format"),
-        "lat": F.col("_pos.lat"), "lon": F.col("_pos.lon"),
         "speed": F.col("_vel.speed"), "angle": F.col("_vel.angle"),
         "vertical_rate": F.col("_vel.vertical_rate"), "speed_type": F.col("_vel.speed_type"),
-    }).drop("_pos", "_vel")
+    }).drop("_vel", "head", "me", "tc")
 
 
 def decode_quality(decoded: DataFrame) -> DataFrame:

@@ -69,12 +69,13 @@ def waits(messages: DataFrame, located: DataFrame, settings: Settings = Settings
 
 
 def feature_table(messages: DataFrame, settings: Settings = Settings(), scenario: bool | None = None) -> DataFrame:
-    """The whole job. The located positions feed four branches, so they are written once to the shared folder."""
+    """The whole job. The located positions feed four branches and the runway events two, so both are written
+    once to the shared folder."""
     if scenario is not None:
         settings = replace(settings, scenario=scenario)
     located = freeze(located_positions(messages, settings))
     stops = waits(messages, located, settings)
-    events = movements.runway_events(located, settings.per_day)
+    events = freeze(movements.runway_events(located, settings.per_day))
     rows = joins.join_occupancy(stops, movements.occupancy(located, settings.occupancy_s), settings.occupancy_s)
     rows = joins.join_minute_rate(rows, movements.events_per_minute(events, settings.rate_s), settings.rate_s)
     rows = rows.na.fill(0.0, subset=["time_before_holding_point"])

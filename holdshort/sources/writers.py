@@ -11,12 +11,15 @@ from pyspark.sql import functions as F
 def partition_by_day_hour(rows: DataFrame, path: str, ts: str = "ts", file_rows: int = 5_000_000) -> None:
     """Append to date/hour directories; rows without a time are left out.
 
-    Rows are not gathered by hour first, so a busy hour is written by many tasks.
+    Rows are put in time order in pieces of equal size: a busy hour is shared by several tasks, quiet hours share one,
+    and there are at most as many files as hours and tasks together.
     """
     dated = rows.where(F.col(f"`{ts}`").isNotNull()).withColumns({
         "date": F.date_format(F.col(f"`{ts}`"), "yyyy-MM-dd"), "hour": F.date_format(F.col(f"`{ts}`"), "HH")})
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = dated.repartitionByRange(parts, "date", "hour", F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]))
     # one sort per task keeps a single file open at a time
-    dated.sortWithinPartitions("date", "hour").write.mode("append").option(
+    spread.sortWithinPartitions("date", "hour").write.mode("append").option(
         "maxRecordsPerFile", file_rows).partitionBy("date", "hour").parquet(path)
 
 
