@@ -10,6 +10,7 @@ from holdshort.catalog.cleaning import micros
 from holdshort.catalog.sql import WAITS
 from holdshort.catalog.tables import table, wait_rows
 from holdshort.features import encoders, resampling, splits
+from holdshort.features.neighbours import nearest_neighbours
 from holdshort.operators.projections import union_all
 from holdshort.session import scratch_path
 
@@ -68,11 +69,13 @@ def _split_by_quantile(spark, sf):
     return union_all(TAG(low, "low"), TAG(high, "high")).groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.max("o_totalprice").alias("largest"))
 
 
-@query("column_kinds", "SELECT 'categorical' AS kind, 7 AS n UNION ALL SELECT 'numeric', 6 UNION ALL SELECT 'boolean', 1")
+@query("column_kinds", """SELECT 'categorical' AS kind, 7 * count(*) AS n FROM lineitem UNION ALL SELECT 'numeric', 6 * count(*) FROM lineitem
+  UNION ALL SELECT 'boolean', count(*) FROM lineitem""")
 def _column_kinds(spark, sf):
+    """Values per kind of column."""
     kinds = encoders.column_kinds(wait_rows(spark, sf))
-    rows = wait_rows(spark, sf).agg(*[F.lit(len(v)).alias(k) for k, v in kinds.items()])
-    return rows.unpivot([], list(kinds), "kind", "n")
+    filled = {k: sum((F.count(c) for c in v), F.lit(0)) for k, v in kinds.items()}
+    return wait_rows(spark, sf).agg(*[n.alias(k) for k, n in filled.items()]).unpivot([], list(kinds), "kind", "n")
 
 
 @query("booleans_to_int", f"WITH {WAITS} SELECT epoch_us(timestamp) AS timestamp, callsign, CAST(is_holiday AS INTEGER) AS is_holiday FROM wr")
@@ -137,6 +140,42 @@ def _oversample(spark, sf):
     return out.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
 
 
+def labelled_vectors(spark, sf):
+    """Embeddings with three uneven classes."""
+    k = F.col("label") % 3
+    return table(spark, sf, "embeddings").select("vec_id", F.when(k == 0, 0).otherwise(F.when(F.col("vec_id") % 3 == 0, 1).otherwise(2)).alias("y"),
+                                                 F.col("embedding").cast("array<double>").alias("v"))
+
+
+CLASSES = "lv AS (SELECT vec_id, CASE WHEN label % 3 = 0 THEN 0 WHEN vec_id % 3 = 0 THEN 1 ELSE 2 END AS y, embedding AS v FROM embeddings)"
+
+
+@query("nearest_neighbours", f"""WITH {CLASSES}, d AS (SELECT a.vec_id, b.vec_id AS neighbour, row_number() OVER (PARTITION BY a.vec_id
+  ORDER BY list_distance(a.v::DOUBLE[], b.v::DOUBLE[]), b.vec_id) AS rank FROM lv a JOIN lv b ON a.y = b.y AND a.vec_id <> b.vec_id)
+SELECT vec_id, neighbour, CAST(rank AS INTEGER) AS rank FROM d WHERE rank <= 5""")
+def _nearest_neighbours(spark, sf):
+    return nearest_neighbours(labelled_vectors(spark, sf), 5, "vec_id", "v", within="y").select("vec_id", "neighbour", "rank")
+
+
+@query("smote", f"WITH {CLASSES}, c AS (SELECT y, count(*) AS n FROM lv GROUP BY 1) SELECT y, (SELECT max(n) FROM c) - n AS added, (SELECT max(n) FROM c) AS n FROM c")
+def _smote(spark, sf):
+    out = resampling.smote(labelled_vectors(spark, sf), "y", "vec_id", "v")
+    return out.groupBy("y").agg(F.count_if("synthetic").alias("added"), F.count(F.lit(1)).alias("n"))
+
+
+@query("edited_neighbours", f"""WITH {CLASSES}, d AS (SELECT a.vec_id, a.y, b.y AS by, row_number() OVER (PARTITION BY a.vec_id
+  ORDER BY list_distance(a.v::DOUBLE[], b.v::DOUBLE[]), b.vec_id) AS rank FROM lv a JOIN lv b ON a.vec_id <> b.vec_id)
+SELECT vec_id, y FROM d WHERE rank <= 3 GROUP BY ALL HAVING bool_and(y = by)""")
+def _edited_neighbours(spark, sf):
+    return resampling.edited_neighbours(labelled_vectors(spark, sf), "y", "vec_id", "v").select("vec_id", "y")
+
+
+@query("smote_enn")
+def _smote_enn(spark, sf):
+    out = resampling.smote_enn(labelled_vectors(spark, sf), "y", "vec_id", "v")
+    return out.groupBy("y").agg(F.count(F.lit(1)).alias("n"), F.count_if("synthetic").alias("added"))
+
+
 def pipeline_rows(spark, sf):
     return encoders.booleans_to_int(wait_rows(spark, sf)).select(
         "timestamp", "callsign", "runway", "holding_point", "takeoff_time", "last_min_takeoffs",

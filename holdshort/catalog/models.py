@@ -1 +1,128 @@
+"""Model fitting and scoring on the whole test tables. Fits have no SQL form, so only their rows are checked."""
 
+from __future__ import annotations
+
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import functions as F
+
+from holdshort.catalog import query
+from holdshort.catalog.aggregates import rounded
+from holdshort.catalog.tables import table, wait_rows
+from holdshort.features import encoders, splits
+from holdshort.functions.labels import day_off, wait_class
+from holdshort.models import classification, regression, search
+from holdshort.operators import reports, statistics
+
+NUMERIC = ["last_min_takeoffs", "last_min_landings", "time_since_last_event_seconds", "hour"]
+CUT = "2001-01-01"
+
+
+def encoded(spark, sf):
+    """Wait rows with a feature vector; the encoder is fitted on the training period only."""
+    rows = encoders.booleans_to_int(wait_rows(spark, sf)).drop("prediction")
+    train, _ = splits.time_split(rows, CUT)
+    return encoders.feature_pipeline_lr(["runway", "holding_point", "weekday"], NUMERIC, ["is_holiday"]).fit(train).transform(rows)
+
+
+def scored_report(scored):
+    return rounded(reports.metrics_long(reports.regression_report(scored)), "value", digits=3)
+
+
+def _fit_and_report(spark, sf, estimator):
+    train, test = splits.time_split(encoded(spark, sf), CUT)
+    return scored_report(estimator.fit(train).transform(test))
+
+
+@query("linear_regression")
+def _linear(spark, sf):
+    return _fit_and_report(spark, sf, regression.linear_regression("takeoff_time", regParam=0.1, elasticNetParam=0.5, maxIter=50))
+
+
+@query("random_forest")
+def _forest(spark, sf):
+    return _fit_and_report(spark, sf, regression.random_forest("takeoff_time", numTrees=10, maxDepth=5))
+
+
+@query("boosted_trees")
+def _boosted(spark, sf):
+    return _fit_and_report(spark, sf, regression.boosted_trees("takeoff_time", maxIter=5, maxDepth=3, subsamplingRate=0.7))
+
+
+@query("ada_boost")
+def _ada(spark, sf):
+    train, test = splits.time_split(encoded(spark, sf), CUT)
+    return scored_report(regression.ada_boost(train, "takeoff_time", rounds=4).transform(test))
+
+
+@query("model_per_group")
+def _per_group(spark, sf):
+    train, test = splits.time_split(encoded(spark, sf), CUT)
+    groups = encoders.vocabulary(train, "runway")
+    return scored_report(regression.model_per_group(
+        train, test, "runway", lambda: regression.boosted_trees("takeoff_time", maxIter=3, maxDepth=3), groups))
+
+
+@query("two_regime_model")
+def _two_regime(spark, sf):
+    train, test = splits.time_split(encoded(spark, sf), CUT)
+    scores = regression.two_regime_model(train, test, "takeoff_time", lambda: regression.boosted_trees("takeoff_time", maxIter=3, maxDepth=3))
+    parts = [scored_report(df).withColumn("regime", F.lit(name)) for name, df in (("low", scores.low), ("high", scores.high), ("both", scores.both))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("grid_search")
+def _grid(spark, sf):
+    rows = encoded(spark, sf).select("timestamp", "features", "takeoff_time")
+    folds = splits.expanding_folds(rows, [("1998-12-31", "1999-01-01", "1999-12-31"), ("1999-12-31", "2000-01-01", "2000-12-31")])
+    grid = search.param_grid(regParam=[0.01, 1.0], elasticNetParam=[0.0, 1.0])
+    _, results = search.grid_search(lambda **p: regression.linear_regression("takeoff_time", maxIter=20, **p), grid, folds, "takeoff_time")
+    flat = [(r["params"]["regParam"], r["params"]["elasticNetParam"], r["train_mae"], r["train_rmse"], r["val_mae"], r["val_rmse"]) for r in results]
+    return rounded(spark.createDataFrame(flat, "reg double, enet double, train_mae double, train_rmse double, val_mae double, val_rmse double"),
+                   "train_mae", "train_rmse", "val_mae", "val_rmse", digits=4)
+
+
+@query("top_features")
+def _top_features(spark, sf):
+    rows = encoders.booleans_to_int(wait_rows(spark, sf))
+    wide = encoders.one_hot_wide(rows.select("takeoff_time", "runway", "holding_point", *NUMERIC), ["runway", "holding_point"])
+    names = [c for c in wide.columns if c != "takeoff_time"]
+    vectors = wide.select("takeoff_time", array_to_vector(F.array(*[F.col(f"`{c}`").cast("double") for c in names])).alias("features"))
+    model = regression.linear_regression("takeoff_time", regParam=0.01).fit(vectors)
+    return rounded(regression.top_features(spark, names, model.coefficients.toArray()), "weight", digits=4)
+
+
+def class_rows(spark, sf):
+    rows = encoders.booleans_to_int(wait_rows(spark, sf)).drop("prediction").withColumn("label", wait_class("takeoff_time").cast("double"))
+    return encoders.feature_pipeline_minmax(["runway", "holding_point"], NUMERIC).fit(rows).transform(rows)
+
+
+@query("naive_bayes")
+def _naive_bayes(spark, sf):
+    rows = class_rows(spark, sf)
+    train, test = splits.time_split(rows, CUT)
+    weighted = statistics.with_class_weights(train, statistics.class_weights(train, "label"), "label")
+    fit, validation = splits.time_split(weighted, "2000-01-01")
+    grid = search.param_grid(smoothing=[0.5, 1.0], modelType=["multinomial", "gaussian"])
+    best, _ = search.classification_search(lambda **p: classification.naive_bayes("label", **p), grid, fit, validation, "label")
+    scored = classification.naive_bayes("label", **best).fit(weighted).transform(test)
+    return rounded(reports.classification_report(scored), "precision", "recall", "f1", digits=4)
+
+
+@query("logistic_binary")
+def _logistic_binary(spark, sf):
+    rows = class_rows(spark, sf).withColumn("label", day_off(holiday=F.col("is_holiday") == 1).cast("double"))
+    train, test = splits.time_split(rows, CUT)
+    scored = classification.logistic_map(train, "label").transform(test)
+    area = reports.auc(scored.select(F.col("label").cast("int").alias("label"), vector_to_array("probability")[1].alias("score")))
+    report = reports.classification_report(scored)
+    return rounded(report.unionByName(area.select(F.lit("auc").alias("class"), F.col("auc").alias("precision"), F.col("auc").alias("recall"),
+                                                  F.col("auc").alias("f1"), F.lit(0).cast("long").alias("support"))),
+                   "precision", "recall", "f1", digits=4)
+
+
+@query("logistic_multi")
+def _logistic_multi(spark, sf):
+    rows = table(spark, sf, "embeddings").select(F.col("label").cast("double").alias("label"), array_to_vector(F.col("embedding").cast("array<double>")).alias("features"),
+                                                 (F.col("vec_id") % 5 == 0).alias("held_out"))
+    scored = classification.logistic_map(rows.where("NOT held_out"), "label", family="multinomial").transform(rows.where("held_out"))
+    return rounded(reports.classification_report(scored), "precision", "recall", "f1", digits=4)
