@@ -163,9 +163,9 @@ def _smote(spark, sf):
     return out.groupBy("y").agg(F.count_if("synthetic").alias("added"), F.count(F.lit(1)).alias("n"))
 
 
-@query("edited_neighbours", f"""WITH {CLASSES}, d AS (SELECT a.vec_id, a.y, b.y AS by, row_number() OVER (PARTITION BY a.vec_id
+@query("edited_neighbours", f"""WITH {CLASSES}, d AS (SELECT a.vec_id, a.y, b.y AS other_y, row_number() OVER (PARTITION BY a.vec_id
   ORDER BY list_distance(a.v::DOUBLE[], b.v::DOUBLE[]), b.vec_id) AS rank FROM lv a JOIN lv b ON a.vec_id <> b.vec_id)
-SELECT vec_id, y FROM d WHERE rank <= 3 GROUP BY ALL HAVING bool_and(y = by)""")
+SELECT vec_id, y FROM d WHERE rank <= 3 GROUP BY ALL HAVING bool_and(y = other_y)""")
 def _edited_neighbours(spark, sf):
     return resampling.edited_neighbours(labelled_vectors(spark, sf), "y", "vec_id", "v").select("vec_id", "y")
 

@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
+from holdshort import airport
 from holdshort.catalog import query
 from holdshort.catalog.cleaning import DAY_S, FINAL, HOUR_S, TEST_SETTINGS, micros
 from holdshort.catalog.joins import (
     ASOF, FLAG_NAMES, OCC, RATE, STATES, WT, located_rows, states,
 )
-from holdshort.catalog.sql import CAT, HOLIDAYS, MSG, POS, WAITS, events, haversine, located, num, sec, segment
-from holdshort.catalog.tables import messages, wait_rows
-from holdshort import airport
-from holdshort.operators import movements, prior_waits, projections
+from holdshort.catalog.sql import CAT, HOLIDAYS, MSG, POS, WAITS, events, haversine, located, nearest, num, sec, segment
+from holdshort.catalog.tables import messages, meteo, wait_rows
+from holdshort.functions import labels
+from holdshort.operators import joins, movements, prior_waits, projections
 from holdshort.plans import features as plan
+from holdshort.plans import scoring
+from holdshort.session import freeze
 
 SEG = f"WITH {located(DAY_S)}, {segment()}"
 
@@ -217,3 +222,37 @@ SELECT mid AS slice_ts, epoch_us(ts) AS ts, icao, round(lat, 6) AS lat, round(lo
 def _position_time_slices(spark, sf):
     out = movements.position_time_slices(projections.positions(messages(spark, sf)), 60)
     return out.select(micros("slice_ts"), micros("ts"), "icao", F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"))
+
+
+@query("scenario_feature_table", f"""WITH {located(DAY_S)}, firsts AS (SELECT *, min(CASE WHEN flight_status = 'on-ground' THEN ts END) OVER w AS first_on_ground_time,
+  min(CASE WHEN designator IS NOT NULL THEN ts END) OVER w AS first_holding_time FROM loc WINDOW w AS (PARTITION BY callsign, day)),
+seg AS (SELECT * FROM firsts WHERE ts >= first_holding_time), fast AS {nearest('seg', 'vel', 'speed', HOUR_S)},
+stp AS (SELECT * FROM fast WHERE speed = 0 AND designator IS NOT NULL),
+held AS (SELECT * REPLACE (min(ts) OVER (PARTITION BY callsign, day) AS first_holding_time) FROM stp)
+SELECT 'scenario_' || CAST(CAST(icao AS BIGINT) % 10 AS VARCHAR) AS scenario_name, epoch_us(ts) AS timestamp, icao, callsign, designator AS holding_point,
+  CAST({sec('first_holding_time')} - {sec('first_on_ground_time')} AS DOUBLE) AS time_before_holding_point,
+  CAST({sec('ts')} - {sec('first_holding_time')} AS DOUBLE) AS time_at_holding_point FROM held
+WHERE EXISTS (SELECT 1 FROM loc o WHERE CAST(o.icao AS BIGINT) % 10 = CAST(held.icao AS BIGINT) % 10
+  AND ({sec('o.ts')} + 3599) // 3600 = {sec('held.ts')} // 3600)""")
+def _scenario_feature_table(spark, sf):
+    """Ten scenarios by aircraft number in one table; a row needs its scenario's occupancy of the hour before."""
+    rows = messages(spark, sf).withColumn("scenario_name", F.concat(F.lit("scenario_"), (F.col("icao").cast("long") % 10).cast("string")))
+    settings = replace(TEST_SETTINGS, scenario=True, by=("scenario_name",))
+    located_once = freeze(plan.located_positions(rows, settings))
+    flags = movements.occupancy(located_once, 3600, settings.by)
+    out = joins.join_occupancy(plan.waits(rows, located_once, settings), flags, 3600, settings.by)
+    return out.select("scenario_name", F.unix_micros("ts").alias("timestamp"), "icao", "callsign", F.col("designator").alias("holding_point"),
+                      "time_before_holding_point", "time_at_holding_point")
+
+
+@query("scenario_scoring")
+def _scenario_scoring(spark, sf):
+    """Features of ten scenarios, the rule-based estimate as model, answers for all of them."""
+    from holdshort.catalog.cleaning import answer_sheet, scenario_raw
+    raw = scenario_raw(spark, sf).withColumns({"tc": 5 + F.col("tc") % 17, "df": F.lit(17)})
+    near = F.col("ts") % 2 == 0
+    raw = raw.withColumns({"lat_deg": F.when(near, airport.CENTRE[0]).otherwise(F.col("lat_deg")), "lon_deg": F.when(near, airport.CENTRE[1]).otherwise(F.col("lon_deg"))})
+    answers = answer_sheet(spark, sf)
+    rows = scoring.scenario_features(raw, answers, replace(TEST_SETTINGS, per_day=False))
+    return scoring.score_scenarios(rows, answers, lambda df: df.withColumn("prediction", labels.rule_based_wait().cast("double")), meteo(spark, sf)).select(
+        "scenario_name", "icao", "holding_point", "time_to_takeoff_s")

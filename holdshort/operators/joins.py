@@ -103,9 +103,9 @@ def flights_info(position_rows: DataFrame, flight_rows: DataFrame, speed_rows: D
     return typed.join(heights, ["icao", "callsign", "ts"], "left")
 
 
-def join_categories(rows: DataFrame, category_rows: DataFrame) -> DataFrame:
+def join_categories(rows: DataFrame, category_rows: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Inner join by aircraft; aircraft without a category are dropped."""
-    return spread_join(rows, category_rows, ["icao"])
+    return spread_join(rows, category_rows, [*by, "icao"])
 
 
 def assign_holding_point(rows: DataFrame, limit_m: float = 20.0) -> DataFrame:
@@ -114,19 +114,19 @@ def assign_holding_point(rows: DataFrame, limit_m: float = 20.0) -> DataFrame:
         "designator": F.col("_hp.designator"), "runway": F.col("_hp.runway")}).drop("_hp")
 
 
-def asof_last_event(rows: DataFrame, events: DataFrame, per_day: bool = True) -> DataFrame:
+def asof_last_event(rows: DataFrame, events: DataFrame, per_day: bool = True, by: Sequence[str] = ()) -> DataFrame:
     """Add the last runway event strictly before each row.
 
     A runway with no event at all gets a stand-in 65 s earlier with category `N/C`; rows of a runway that only has
     later events are dropped. `per_day` treats each day on its own.
     """
-    keys = ["runway", "_day"]
+    keys = [*by, "runway", "_day"]
     day = F.to_date("ts") if per_day else F.lit(None).cast("date")
     day = F.coalesce(day, F.to_date(F.lit("1970-01-01")))
     left = rows.withColumn("_day", day)
     # of events at one instant the one with the smallest category and kind stands
     ev = one_per_instant(
-        events.withColumn("_day", day).select("runway", "_day", "ts", "wake_category", "event"), keys)
+        events.withColumn("_day", day).select(*keys, "ts", "wake_category", "event"), keys)
     points = last_event_before(left, ev, keys, ["wake_category", "event"]).withColumnRenamed("event", "_e")
     busy = ev.select(*keys).distinct().withColumn("_busy", F.lit(True))
     points = points.join(busy, keys, "left").where(F.col("_e").isNotNull() | F.col("_busy").isNull())
@@ -140,17 +140,17 @@ def asof_last_event(rows: DataFrame, events: DataFrame, per_day: bool = True) ->
     return out.withColumn("time_since_last_event_seconds", epoch_s("ts") - epoch_s("event_ts"))
 
 
-def join_occupancy(rows: DataFrame, occupancy: DataFrame, width_s: int = 10) -> DataFrame:
+def join_occupancy(rows: DataFrame, occupancy: DataFrame, width_s: int = 10, by: Sequence[str] = ()) -> DataFrame:
     """Inner join with the occupancy of the last complete interval: floor of the row, end of the interval."""
     keyed = rows.withColumn("bucket", floor_s("ts", width_s))
-    return spread_join(keyed, occupancy, ["bucket"]).drop("bucket")
+    return spread_join(keyed, occupancy, [*by, "bucket"]).drop("bucket")
 
 
-def join_minute_rate(rows: DataFrame, rate: DataFrame, width_s: int = 60) -> DataFrame:
+def join_minute_rate(rows: DataFrame, rate: DataFrame, width_s: int = 60, by: Sequence[str] = ()) -> DataFrame:
     """Left join with the counts of the last complete minute; missing counts are 0."""
     keyed = rows.withColumn("minute", floor_s("ts", width_s))
     counts = ["last_min_takeoffs", "last_min_landings"]
-    return spread_join(keyed, rate, ["minute"], "left").na.fill(0, subset=counts)
+    return spread_join(keyed, rate, [*by, "minute"], "left").na.fill(0, subset=counts)
 
 
 def join_meteo_hourly(rows: DataFrame, meteo: DataFrame, ts: str = "ts", time: str = "time", prefix: str = "") -> DataFrame:

@@ -1,7 +1,8 @@
 """Flight phases, runway events, occupancy and waits.
 
 Flights are identified by callsign. `per_day` (default) starts every day anew, so that a whole table gives the same
-result as one run per day file; `per_day=False` uses the bare key.
+result as one run per day file; `per_day=False` uses the bare key. `by` names further key columns, such as a scenario
+name, when one table holds many recordings.
 """
 
 from __future__ import annotations
@@ -31,20 +32,21 @@ def _first_when(condition, ts="ts"):
     return F.min(F.when(condition, F.col(ts)))
 
 
-def semi_valid_flights(rows: DataFrame, per_day: bool = True) -> DataFrame:
+def semi_valid_flights(rows: DataFrame, per_day: bool = True, by: Sequence[str] = ()) -> DataFrame:
     """Rows of flights that are seen at a holding point at least once."""
     dated = _dated(rows, per_day)
-    valid = dated.where("designator IS NOT NULL").select("callsign", "_day").distinct()
-    return spread_join(dated, valid, ["callsign", "_day"], "left_semi").drop("_day")
+    keys = [*by, "callsign", "_day"]
+    valid = dated.where("designator IS NOT NULL").select(*keys).distinct()
+    return spread_join(dated, valid, keys, "left_semi").drop("_day")
 
 
-def first_times(rows: DataFrame, per_day: bool = True) -> DataFrame:
+def first_times(rows: DataFrame, per_day: bool = True, by: Sequence[str] = ()) -> DataFrame:
     """Add first_on_ground_time and first_holding_time per flight; keep rows from the first holding time on.
 
     Flights never seen at a holding point vanish, so a preceding `semi_valid_flights` is not needed.
     """
     dated = _dated(rows, per_day)
-    keys = ["callsign", "_day"]
+    keys = [*by, "callsign", "_day"]
     firsts = dated.groupBy(*keys).agg(
         _first_when(F.col("flight_status") == ON_GROUND).alias("first_on_ground_time"),
         _first_when(F.col("designator").isNotNull()).alias("first_holding_time"),
@@ -52,7 +54,7 @@ def first_times(rows: DataFrame, per_day: bool = True) -> DataFrame:
     return spread_join(dated, firsts, keys).where("ts >= first_holding_time").drop("_day")
 
 
-def takeoff_segment(rows: DataFrame, per_day: bool = True, scenario: bool = False) -> DataFrame:
+def takeoff_segment(rows: DataFrame, per_day: bool = True, scenario: bool = False, by: Sequence[str] = ()) -> DataFrame:
     """After `first_times`: add first_airborne_time, taken over the remaining rows, and keep rows up to it.
 
     Flights that never get airborne vanish. A scenario has no take-off yet: rows are returned as they are.
@@ -60,17 +62,17 @@ def takeoff_segment(rows: DataFrame, per_day: bool = True, scenario: bool = Fals
     if scenario:
         return rows
     dated = _dated(rows, per_day)
-    keys = ["callsign", "_day"]
+    keys = [*by, "callsign", "_day"]
     firsts = dated.where(F.col("flight_status") == AIRBORNE).groupBy(*keys).agg(F.min("ts").alias("first_airborne_time"))
     return spread_join(dated, firsts, keys).where("ts <= first_airborne_time").drop("_day")
 
 
-def flight_window(rows: DataFrame, per_day: bool = True, scenario: bool = False) -> DataFrame:
+def flight_window(rows: DataFrame, per_day: bool = True, scenario: bool = False, by: Sequence[str] = ()) -> DataFrame:
     """`takeoff_segment(first_times(rows))` with one join of the wide rows instead of two.
 
     The per-flight times are worked out on three narrow columns first.
     """
-    keys = ["callsign", "_day"]
+    keys = [*by, "callsign", "_day"]
     dated = _dated(rows, per_day)
     times = dated.groupBy(*keys).agg(
         _first_when(F.col("flight_status") == ON_GROUND).alias("first_on_ground_time"),
@@ -85,17 +87,18 @@ def flight_window(rows: DataFrame, per_day: bool = True, scenario: bool = False)
     return spread_join(dated, times, keys).where(inside).drop("_day")
 
 
-def semi_stopped(rows: DataFrame, per_day: bool = True) -> DataFrame:
+def semi_stopped(rows: DataFrame, per_day: bool = True, by: Sequence[str] = ()) -> DataFrame:
     """Rows of aircraft that stop at a holding point, from the flight's first such stop on.
 
     first_holding_time becomes the time of that stop.
     """
     dated = _dated(rows.drop("first_holding_time"), per_day)
     stops = dated.where(STOPPED)
-    aircraft = stops.select("icao", "_day").distinct()
-    first_stop = stops.groupBy("callsign", "_day").agg(F.min("ts").alias("first_holding_time"))
-    kept = spread_join(dated, aircraft, ["icao", "_day"], "left_semi")
-    return spread_join(kept, first_stop, ["callsign", "_day"]).where("ts >= first_holding_time").drop("_day")
+    keys, aircraft_keys = [*by, "callsign", "_day"], [*by, "icao", "_day"]
+    aircraft = stops.select(*aircraft_keys).distinct()
+    first_stop = stops.groupBy(*keys).agg(F.min("ts").alias("first_holding_time"))
+    kept = spread_join(dated, aircraft, aircraft_keys, "left_semi")
+    return spread_join(kept, first_stop, keys).where("ts >= first_holding_time").drop("_day")
 
 
 def holding_times(rows: DataFrame, scenario: bool = False) -> DataFrame:
@@ -111,48 +114,49 @@ def holding_times(rows: DataFrame, scenario: bool = False) -> DataFrame:
     return out.withColumns(new)
 
 
-def stopped_waits(segment: DataFrame, per_day: bool = True, scenario: bool = False) -> DataFrame:
+def stopped_waits(segment: DataFrame, per_day: bool = True, scenario: bool = False, by: Sequence[str] = ()) -> DataFrame:
     """`holding_times(semi_stopped(segment))`: only stopped rows survive, so only they are joined."""
     stops = _dated(segment.drop("first_holding_time"), per_day).where(STOPPED)
-    first_stop = stops.groupBy("callsign", "_day").agg(F.min("ts").alias("first_holding_time"))
-    return holding_times(spread_join(stops, first_stop, ["callsign", "_day"]).drop("_day"), scenario)
+    keys = [*by, "callsign", "_day"]
+    first_stop = stops.groupBy(*keys).agg(F.min("ts").alias("first_holding_time"))
+    return holding_times(spread_join(stops, first_stop, keys).drop("_day"), scenario)
 
 
 def with_runway_position(rows: DataFrame) -> DataFrame:
     return rows.withColumn("runway_from_position", geo.runway_at("lat", "lon"))
 
 
-def runway_events(rows: DataFrame, per_day: bool = True) -> DataFrame:
+def runway_events(rows: DataFrame, per_day: bool = True, by: Sequence[str] = ()) -> DataFrame:
     """Take-offs and landings: status changes between consecutive messages of an aircraft that happen on a runway.
 
     The runway is that of the holding point, else of the position. Of several rows of an aircraft at one instant the
     one with the smallest columns counts.
     """
     narrow = _dated(rows, per_day).select(
-        "icao", "_day", "ts", "flight_status", "wake_category",
+        *by, "icao", "_day", "ts", "flight_status", "wake_category",
         F.coalesce("runway", "runway_from_position").alias("runway"))
-    keys = ["icao", "_day"]
+    keys = [*by, "icao", "_day"]
     seen = previous_in_time(one_per_instant(narrow, keys), keys, ["flight_status"], ["prev_status"])
     now, before = F.col("flight_status"), F.col("prev_status")
     event = (F.when((now == AIRBORNE) & (before == ON_GROUND), "takeoff")
              .when((now == ON_GROUND) & (before == AIRBORNE), "landing"))
-    return seen.select("runway", "ts", "wake_category", event.alias("event")).where(
+    return seen.select(*by, "runway", "ts", "wake_category", event.alias("event")).where(
         "event IS NOT NULL AND runway IS NOT NULL")
 
 
-def occupancy(rows: DataFrame, width_s: int = 10) -> DataFrame:
+def occupancy(rows: DataFrame, width_s: int = 10, by: Sequence[str] = ()) -> DataFrame:
     """One row per interval, labelled by its end, with a flag per holding point and per runway."""
     def seen(column, name):
         return F.coalesce(F.max(F.col(column) == name), F.lit(False))
 
     flags = [seen("designator", n).alias(n) for n in airport.HOLDING_POINT_NAMES]
     flags += [seen("runway_from_position", n).alias(airport.runway_column(n)) for n in airport.RUNWAY_NAMES]
-    return rows.groupBy(ceil_s("ts", width_s).alias("bucket")).agg(*flags)
+    return rows.groupBy(*by, ceil_s("ts", width_s).alias("bucket")).agg(*flags)
 
 
-def events_per_minute(events: DataFrame, width_s: int = 60) -> DataFrame:
+def events_per_minute(events: DataFrame, width_s: int = 60, by: Sequence[str] = ()) -> DataFrame:
     """Take-offs and landings per minute, labelled by the minute's end."""
-    return events.groupBy(ceil_s("ts", width_s).alias("minute")).agg(
+    return events.groupBy(*by, ceil_s("ts", width_s).alias("minute")).agg(
         F.count_if(F.col("event") == "takeoff").alias("last_min_takeoffs"),
         F.count_if(F.col("event") == "landing").alias("last_min_landings"),
     )

@@ -1,7 +1,12 @@
-"""Narrow views of the decoded-message table; every one reaches the scan as filter and column list."""
+"""Narrow views of the decoded-message table; every one reaches the scan as filter and column list.
+
+`by` names further key columns, such as a scenario name, when one table holds many recordings.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,10 +16,10 @@ from holdshort.operators.joins import nearest_within
 from holdshort.schemas import AIRBORNE, NULL_CALLSIGN, NULL_WORDS, ON_GROUND
 
 
-def positions(messages: DataFrame) -> DataFrame:
+def positions(messages: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Distinct position reports: type codes 5 to 22 but 19."""
     kept = F.col("typecode").between(5, 22) & (F.col("typecode") != 19)
-    return messages.where(kept).select("ts", "icao", "flight_status", "lat", "lon").distinct()
+    return messages.where(kept).select(*by, "ts", "icao", "flight_status", "lat", "lon").distinct()
 
 
 def _known_category(messages):
@@ -28,18 +33,18 @@ def airplane_categories(messages: DataFrame) -> DataFrame:
     return _known_category(messages).select("icao", "wake_category").distinct()
 
 
-def airplane_category(messages: DataFrame) -> DataFrame:
+def airplane_category(messages: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """One wake category per aircraft: the most frequent, then the alphabetically first."""
-    votes = _known_category(messages).groupBy("icao", "wake_category").agg(F.count(F.lit(1)).alias("n"))
+    votes = _known_category(messages).groupBy(*by, "icao", "wake_category").agg(F.count(F.lit(1)).alias("n"))
     best = F.min_by("wake_category", F.struct(-F.col("n"), F.col("wake_category")))
-    return votes.groupBy("icao").agg(best.alias("wake_category"))
+    return votes.groupBy(*by, "icao").agg(best.alias("wake_category"))
 
 
-def flights(messages: DataFrame) -> DataFrame:
+def flights(messages: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Distinct (ts, aircraft, callsign) with a usable callsign."""
     c = F.col("callsign")
     return messages.where(c.isNotNull() & (c != NULL_CALLSIGN) & ~c.isin(NULL_WORDS)).select(
-        "ts", "icao", "callsign").distinct()
+        *by, "ts", "icao", "callsign").distinct()
 
 
 def altitudes(messages: DataFrame, need_speed: bool = False) -> DataFrame:
@@ -50,10 +55,10 @@ def altitudes(messages: DataFrame, need_speed: bool = False) -> DataFrame:
     return messages.where(kept).select("ts", "icao", "callsign", "flight_status", "altitude_ft", "lat", "lon")
 
 
-def velocities(messages: DataFrame) -> DataFrame:
+def velocities(messages: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Rows with a speed (knots)."""
     return messages.where(F.col("speed").isNotNull() & ~F.isnan("speed")).select(
-        "ts", "icao", "flight_status", "speed")
+        *by, "ts", "icao", "flight_status", "speed")
 
 
 def velocities_located(messages: DataFrame, tolerance_s: int = 1) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
@@ -15,7 +16,10 @@ from holdshort.session import freeze
 
 @dataclass(frozen=True)
 class Settings:
-    """Tolerances and bucket widths in seconds; the defaults fit radar data."""
+    """Tolerances and bucket widths in seconds; the defaults fit radar data.
+
+    `scenario` leaves out everything that needs the take-off; `by` keeps recordings in one table apart.
+    """
 
     callsign_tolerance_s: int = 600
     speed_tolerance_s: int = 1
@@ -23,6 +27,7 @@ class Settings:
     rate_s: int = 60
     per_day: bool = True
     scenario: bool = False
+    by: tuple[str, ...] = ()
 
 
 def calendar(rows: DataFrame, minute: str = "minute") -> DataFrame:
@@ -36,9 +41,9 @@ def select_flags() -> list[str]:
     return [*airport.HOLDING_POINT_NAMES, *map(airport.runway_column, airport.RUNWAY_NAMES)]
 
 
-def select_final(rows: DataFrame, scenario: bool = False) -> DataFrame:
+def select_final(rows: DataFrame, scenario: bool = False, by: Sequence[str] = ()) -> DataFrame:
     """Final names and order; a scenario has neither target nor first airborne time."""
-    names = [] if scenario else ["takeoff_time"]
+    names = [*by] if scenario else [*by, "takeoff_time"]
     names += [("ts", "timestamp"), "icao", "callsign", ("designator", "holding_point"), "runway", "operator",
               ("wake_category", "turbulence_category"), "lat", "lon", "last_min_takeoffs", "last_event",
               "last_min_landings", "last_event_turb_cat", "time_since_last_event_seconds", "time_before_holding_point",
@@ -50,38 +55,39 @@ def select_final(rows: DataFrame, scenario: bool = False) -> DataFrame:
 
 def located_positions(messages: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Positions near the airport with callsign, holding point, wake category and runway by position."""
-    near = projections.positions(messages).where(geo.within_airport("lat", "lon"))
-    named = joins.nearest_within(near, projections.flights(messages), ["icao"], settings.callsign_tolerance_s,
+    by, keys = settings.by, [*settings.by, "icao"]
+    near = projections.positions(messages, by).where(geo.within_airport("lat", "lon"))
+    named = joins.nearest_within(near, projections.flights(messages, by), keys, settings.callsign_tolerance_s,
                                  ["callsign"], one_per_ts=True)
     placed = joins.assign_holding_point(named)
-    typed = joins.join_categories(placed, projections.airplane_category(messages))
+    typed = joins.join_categories(placed, projections.airplane_category(messages, by), by)
     return movements.with_runway_position(typed)
 
 
 def waits(messages: DataFrame, located: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Stopped rows at holding points between first holding and take-off, with their times."""
-    segment = movements.flight_window(located, settings.per_day, settings.scenario)
+    s = settings
+    segment = movements.flight_window(located, s.per_day, s.scenario, s.by)
     # only rows at a holding point can be stops, so only they need a speed
     segment = segment.where("designator IS NOT NULL")
-    speeds = projections.velocities(messages)
-    fast = joins.nearest_within(segment, speeds, ["icao"], settings.speed_tolerance_s, ["speed"])
-    return movements.stopped_waits(fast, settings.per_day, settings.scenario)
+    speeds = projections.velocities(messages, s.by)
+    fast = joins.nearest_within(segment, speeds, [*s.by, "icao"], s.speed_tolerance_s, ["speed"])
+    return movements.stopped_waits(fast, s.per_day, s.scenario, s.by)
 
 
 def feature_table(messages: DataFrame, settings: Settings = Settings(), scenario: bool | None = None) -> DataFrame:
     """The whole job. The located positions feed four branches and the runway events two, so both are written
     once to the shared folder."""
-    if scenario is not None:
-        settings = replace(settings, scenario=scenario)
-    located = freeze(located_positions(messages, settings))
-    stops = waits(messages, located, settings)
-    events = freeze(movements.runway_events(located, settings.per_day))
-    rows = joins.join_occupancy(stops, movements.occupancy(located, settings.occupancy_s), settings.occupancy_s)
-    rows = joins.join_minute_rate(rows, movements.events_per_minute(events, settings.rate_s), settings.rate_s)
+    s = settings if scenario is None else replace(settings, scenario=scenario)
+    located = freeze(located_positions(messages, s))
+    stops = waits(messages, located, s)
+    events = freeze(movements.runway_events(located, s.per_day, s.by))
+    rows = joins.join_occupancy(stops, movements.occupancy(located, s.occupancy_s, s.by), s.occupancy_s, s.by)
+    rows = joins.join_minute_rate(rows, movements.events_per_minute(events, s.rate_s, s.by), s.rate_s, s.by)
     rows = rows.na.fill(0.0, subset=["time_before_holding_point"])
-    rows = joins.asof_last_event(rows, events, settings.per_day)
+    rows = joins.asof_last_event(rows, events, s.per_day, s.by)
     rows = calendar(rows).withColumn("operator", labels.operator_code("callsign"))
-    return select_final(rows, settings.scenario)
+    return select_final(rows, s.scenario, s.by)
 
 
 def mean_wait_by_runway_hour(stops: DataFrame) -> DataFrame:
