@@ -12,16 +12,19 @@ from holdshort.features import encoders, splits
 from holdshort.functions.labels import day_off, wait_class
 from holdshort.models import classification, regression, search
 from holdshort.operators import reports, statistics
+from holdshort.session import freeze
 
 NUMERIC = ["last_min_takeoffs", "last_min_landings", "time_since_last_event_seconds", "hour"]
 CUT = "2001-01-01"
 
 
 def encoded(spark, sf):
-    """Wait rows with a feature vector; the encoder is fitted on the training period only."""
+    """Wait rows with a feature vector; the encoder is fitted on the training period only. Fits read it many times, so
+    it is written once."""
     rows = encoders.booleans_to_int(wait_rows(spark, sf)).drop("prediction")
     train, _ = splits.time_split(rows, CUT)
-    return encoders.feature_pipeline_lr(["runway", "holding_point", "weekday"], NUMERIC, ["is_holiday"]).fit(train).transform(rows)
+    model = encoders.feature_pipeline_lr(["runway", "holding_point", "weekday"], NUMERIC, ["is_holiday"]).fit(train)
+    return freeze(model.transform(rows).select("timestamp", "runway", "holding_point", "takeoff_time", "features"))
 
 
 def scored_report(scored):
@@ -93,7 +96,8 @@ def _top_features(spark, sf):
 
 def class_rows(spark, sf):
     rows = encoders.booleans_to_int(wait_rows(spark, sf)).drop("prediction").withColumn("label", wait_class("takeoff_time").cast("double"))
-    return encoders.feature_pipeline_minmax(["runway", "holding_point"], NUMERIC).fit(rows).transform(rows)
+    out = encoders.feature_pipeline_minmax(["runway", "holding_point"], NUMERIC).fit(rows).transform(rows)
+    return freeze(out.select("timestamp", "weekday", "is_holiday", "label", "features"))
 
 
 @query("naive_bayes")

@@ -90,9 +90,9 @@ def _scan_geojson(spark, sf):
         F.lit("Feature").alias("type"),
         F.struct(F.concat(F.lit("P"), k.cast("string")).alias("Designator"), F.col("s_nationkey").cast("string").alias("Runway")).alias("properties"),
         F.struct(F.lit("Point").alias("type"), F.array(k / 8, k / 4).alias("coordinates")).alias("geometry"))
-    # one small collection per nation: each file holds one document
-    table(spark, sf, "supplier").groupBy("s_nationkey").agg(F.collect_list(feature).alias("features")).select(
-        "features").repartition(64, "features").write.option("maxRecordsPerFile", 1).json(path)
+    # collections of at most 500 features, one document per file
+    table(spark, sf, "supplier").groupBy(F.floor(k / 500).alias("part")).agg(F.collect_list(feature).alias("features")).select(
+        "features").write.option("maxRecordsPerFile", 1).json(path)
     out = readers.scan_geojson(spark, path, ["Designator", "Runway"])
     return out.withColumns({"lon": F.round("lon", 4), "lat": F.round("lat", 4)})
 

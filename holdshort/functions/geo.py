@@ -22,9 +22,13 @@ def _col(c) -> Column:
 
 def great_circle_m(lat1, lon1, lat2, lon2) -> Column:
     """Spherical law of cosines in metres; the cosine is clamped so that equal points give 0, not NaN."""
-    a, b = F.radians(_col(lat1)), F.radians(_col(lat2))
-    dlon = F.radians(_col(lon1)) - F.radians(_col(lon2))
-    cosine = F.sin(a) * F.sin(b) + F.cos(a) * F.cos(b) * F.cos(dlon)
+    b = F.radians(_col(lat2))
+    dlon = F.radians(_col(lon1) - _col(lon2))
+    if isinstance(lat1, float):
+        sin_a, cos_a = F.lit(math.sin(math.radians(lat1))), F.lit(math.cos(math.radians(lat1)))
+    else:
+        sin_a, cos_a = F.sin(F.radians(_col(lat1))), F.cos(F.radians(_col(lat1)))
+    cosine = sin_a * F.sin(b) + cos_a * F.cos(b) * F.cos(dlon)
     return F.acos(F.least(F.lit(1.0), F.greatest(F.lit(-1.0), cosine))) * SPHERE_RADIUS_M
 
 
@@ -54,7 +58,7 @@ def holding_point(lat="lat", lon="lon", limit_m: float = 20.0) -> Column:
     hit = F.lit(None).cast("struct<designator:string,runway:string>")
     tests = None
     for name, runway, plon, plat in airport.HOLDING_POINTS:
-        cond = _near(la, lo, plat, plon, limit_m) & (great_circle_m(la, lo, plat, plon) < limit_m)
+        cond = _near(la, lo, plat, plon, limit_m) & (great_circle_m(plat, plon, la, lo) < limit_m)
         value = F.struct(F.lit(name).alias("designator"), F.lit(runway).alias("runway"))
         tests = F.when(cond, value) if tests is None else tests.when(cond, value)
     return tests.otherwise(hit)

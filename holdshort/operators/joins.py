@@ -74,7 +74,7 @@ def labels_within(left: DataFrame, right: DataFrame, keys: Sequence[str], tolera
         )
     )
     rows = left.withColumn("_slot", slot("ts", width))
-    joined = spread_join(rows, reach, [*keys, "_slot"])
+    joined = rows.join(reach, [*keys, "_slot"])
     # a zero tolerance has one-second slots: only the own slot counts
     own = F.col("_own_last").isNotNull()
     before = sec - F.col("_prev_last") <= tolerance_s
@@ -136,7 +136,7 @@ def asof_last_event(rows: DataFrame, events: DataFrame, per_day: bool = True, by
         F.coalesce(F.col("_e.wake_category"), F.lit("N/C")).alias("last_event_turb_cat"),
         F.col("_e.event").alias("last_event"),
     )
-    out = spread_join(left, points, [*keys, "ts"]).drop("_day")
+    out = left.join(points, [*keys, "ts"]).drop("_day")
     return out.withColumn("time_since_last_event_seconds", epoch_s("ts") - epoch_s("event_ts"))
 
 

@@ -7,11 +7,10 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from holdshort.functions.timing import epoch_s
-from holdshort.operators.spread import spread_join
+from holdshort.session import freeze
 
 GROUP = ["runway", "_day"]
-SLOT_S = 600
+SLOT_S = 3600
 
 
 def _registers(window, item: str, count: int):
@@ -60,14 +59,16 @@ def rolling_prior_mean(rows: DataFrame, last: int = 3, default: float = 170.0, s
     said = said.where("takeoff_time IS NOT NULL AND callsign IS NOT NULL")
     flight = [*GROUP, "callsign"]
     settled = said.groupBy(*flight).agg(F.min(F.struct("_t", "_known", "takeoff_time")).alias("_m"))
-    settled = settled.select(*flight, F.col("_m._known").alias("_from"), _entry("_m._t", "_m.takeoff_time").alias("_item"))
+    # one row per flight, read by three branches
+    settled = freeze(settled.select(
+        *flight, F.col("_m._known").alias("_from"), _entry("_m._t", "_m.takeoff_time").alias("_item")))
 
     points = dated.select(*GROUP, "_t").distinct()
     tops, names = _top_settled(points, settled, keep, slot_s)
     standins = _standins(said, settled, flight)
     extra = _standins_at(points, standins, keep, slot_s)
     per_point = tops.join(extra, [*GROUP, "_t"], "left")
-    out = spread_join(dated, per_point, [*GROUP, "_t"], "left")
+    out = dated.join(per_point, [*GROUP, "_t"], "left")
     candidates = F.array(*names)
     known = F.filter(F.concat(candidates, F.coalesce("_extra", F.slice(candidates, 1, 0))), lambda x: x.isNotNull())
     others = F.filter(known, lambda x: F.col("callsign").isNull() | (x["callsign"] != F.col("callsign")))
@@ -89,11 +90,9 @@ def _top_settled(points, settled, keep, slot_s):
     arrivals = settled.select(*GROUP, F.col("_from").alias("_t"), F.lit(1).alias("_kind"), "_item").withColumn("_slot", at("_t"))
     asked = points.select(*GROUP, "_t", F.lit(0).alias("_kind"), none.alias("_item")).withColumn("_slot", at("_t"))
 
-    # the list at the end of each slot, counting only the slot's own arrivals
-    order = Window.partitionBy(*GROUP, "_slot").orderBy("_item")
-    ranked, names = _with_registers(arrivals, order, "_item", keep)
-    ends = ranked.groupBy(*GROUP, "_slot").agg(*[F.max(n).alias(n) for n in names])
-    ends = ends.select(*GROUP, "_slot", F.explode(F.array(*names)).alias("_item")).where("_item IS NOT NULL")
+    # the largest arrivals of each slot
+    order = Window.partitionBy(*GROUP, "_slot").orderBy(F.desc("_item"))
+    ends = arrivals.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= keep).select(*GROUP, "_slot", "_item")
     # the list before each slot: the same running list over at most `keep` items per slot
     slots = asked.select(*GROUP, "_slot").distinct()
     steps = ends.withColumn("_kind", F.lit(1)).unionByName(

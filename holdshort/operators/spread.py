@@ -4,7 +4,7 @@ Two ideas are used throughout the library:
 
 * a table is collapsed to one row per (key, instant) with a partial aggregate before it is ordered, and the
   ordered window runs per (key, time slot); what a slot needs from earlier slots is carried in as one row;
-* a join of a wide table with a one-row-per-key table spreads every key over several splits.
+* a join of a wide table with a one-row-per-key table is planned so that an oversized key can be split.
 """
 
 from __future__ import annotations
@@ -18,19 +18,26 @@ from pyspark.sql import functions as F
 from holdshort.functions.timing import slot
 from holdshort.session import freeze
 
-SPLITS = 8
+SPLITS = 32
 SLOT_S = 3600
 
 
-def spread_join(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner", splits: int = SPLITS) -> DataFrame:
-    """Equi-join (inner, left, left_semi, left_anti) with a table of one row per key.
+def spread_join(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join (inner, left, left_semi, left_anti) of a table with one that is unique, or nearly so, per key.
 
-    The big side's rows of one key are dealt to `splits` tasks and the small side is repeated for each. The deal
-    depends only on the row and on the number of its input partition, so a re-run task deals alike.
+    The small side usually comes out of an aggregate on the same keys. Spark would reuse that shuffle, and adaptive
+    execution splits an oversized key only where both join sides are shuffled for the join itself. A redundant join
+    column, a hash of the keys, makes it so. Without adaptive skew handling the rows of a key are dealt to SPLITS tasks
+    and the small side is repeated for each; the deal depends only on the row and the number of its input partition, so
+    a re-run task deals alike.
     """
-    deal = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in big.columns]) + F.spark_partition_id(), F.lit(splits))
+    conf = big.sparkSession.conf
+    if conf.get("spark.sql.adaptive.enabled") == "true" and conf.get("spark.sql.adaptive.skewJoin.enabled") == "true":
+        mark = F.xxhash64(*[F.col(c) for c in on])
+        return big.withColumn("_spread", mark).join(small.withColumn("_spread", mark), [*on, "_spread"], how).drop("_spread")
+    deal = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in big.columns]) + F.spark_partition_id(), F.lit(SPLITS))
     dealt = big.withColumn("_split", deal.cast("int"))
-    repeated = small.withColumn("_split", F.explode(F.sequence(F.lit(0), F.lit(splits - 1))))
+    repeated = small.withColumn("_split", F.explode(F.sequence(F.lit(0), F.lit(SPLITS - 1))))
     return dealt.join(repeated, [*on, "_split"], how).drop("_split")
 
 

@@ -18,6 +18,10 @@ def build_session(app: str = "holdshort", master: str | None = None, **conf: str
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        # frozen tables go away with the last plan that reads them
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+        # call-site capture costs more than building the expressions of a wide plan
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     } | conf
     for key, value in settings.items():
         builder = builder.config(key, value)
