@@ -79,7 +79,7 @@ def _velocities(spark, sf):
 LOCATED_SPEEDS = f"""{MSG}, {POS}, spd AS (SELECT ts, icao, flight_status, speed, lat, lon FROM msg WHERE speed IS NOT NULL),
 air AS (SELECT ts, icao, flight_status, speed FROM spd WHERE flight_status = 'airborne'),
 placed AS (SELECT * EXCLUDE (rn, rid) FROM (SELECT l.*, r.lat, r.lon, row_number() OVER (PARTITION BY l.rid
-  ORDER BY abs({sec('l.ts')} - {sec('r.ts')}), r.ts, r.lat, r.lon) AS rn
+  ORDER BY abs(epoch_us(l.ts) - epoch_us(r.ts)), r.ts, r.lat, r.lon) AS rn
   FROM (SELECT *, row_number() OVER () AS rid FROM air) l JOIN pos r ON l.icao = r.icao
   AND abs({sec('l.ts')} - {sec('r.ts')}) <= {HOUR_S}) WHERE rn = 1),
 vl AS (SELECT ts, icao, flight_status, speed * 1.852e0 AS speed, lat, lon FROM

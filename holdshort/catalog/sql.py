@@ -85,7 +85,7 @@ CENTRE = great_circle(num(airport.CENTRE[0]), num(airport.CENTRE[1]), "lat", "lo
 def nearest(left: str, right: str, payload: str, tol: int, row: str = "l.*") -> str:
     """Left rows with the payload of the nearest right row of the same aircraft."""
     return f"""(SELECT * EXCLUDE (rn, rid) FROM (SELECT {row}, r.{payload}, row_number() OVER (PARTITION BY l.rid
-      ORDER BY abs({sec('l.ts')} - {sec('r.ts')}), r.ts, r.{payload}) AS rn
+      ORDER BY abs(epoch_us(l.ts) - epoch_us(r.ts)), r.ts, r.{payload}) AS rn
       FROM (SELECT *, row_number() OVER () AS rid FROM {left}) l JOIN {right} r ON l.icao = r.icao
       AND abs({sec('l.ts')} - {sec('r.ts')}) <= {tol}) WHERE rn = 1)"""
 

@@ -253,6 +253,6 @@ def _scenario_scoring(spark, sf):
     near = F.col("ts") % 2 == 0
     raw = raw.withColumns({"lat_deg": F.when(near, airport.CENTRE[0]).otherwise(F.col("lat_deg")), "lon_deg": F.when(near, airport.CENTRE[1]).otherwise(F.col("lon_deg"))})
     answers = answer_sheet(spark, sf)
-    rows = scoring.scenario_features(raw, answers, replace(TEST_SETTINGS, per_day=False))
+    rows = scoring.scenario_features(raw, answers, replace(TEST_SETTINGS, per_day=False, occupancy_s=DAY_S))
     return scoring.score_scenarios(rows, answers, lambda df: df.withColumn("prediction", labels.rule_based_wait().cast("double")), meteo(spark, sf)).select(
         "scenario_name", "icao", "holding_point", "time_to_takeoff_s")

@@ -17,39 +17,39 @@ def nearest_within(left: DataFrame, right: DataFrame, keys: Sequence[str], toler
                    payload: Sequence[str], one_per_ts: bool = False) -> DataFrame:
     """Give each left row the payload of the nearest right row of the same keys within the tolerance.
 
-    Distance is in whole seconds; ties go to the earlier right row, then to the smallest payload. Left rows without
-    a match are dropped. With `one_per_ts` the left side is first reduced to one row per (keys, ts).
+    The tolerance is in whole seconds; nearness is exact, ties go to the earlier right row, then to the smallest payload.
+    Left rows without a match are dropped. With `one_per_ts` the left side is first reduced to one row per (keys, ts).
 
-    The answer depends only on (keys, second). Both sides are reduced to that with a partial aggregate, the right side
-    is copied to the slots next to its own, and the neighbours are found by an ordered window per (keys, slot). Such a
-    group holds at most four seconds per second of tolerance, whatever the number of rows behind it.
+    The answer depends only on (keys, ts). Both sides are reduced to that with a partial aggregate, the right side is
+    copied to the slots next to its own, and the neighbours are found by an ordered window per (keys, slot). Such a group
+    holds at most the distinct times of four slots as wide as the tolerance, whatever the number of rows behind them.
     """
     if one_per_ts:
         left = one_per_instant(left, keys)
     width = max(int(tolerance_s), 1)
-    sec = epoch_s("ts")
-    wanted = left.select(*keys, sec.alias("_sec")).distinct()
-    marks = right.groupBy(*keys, sec.alias("_sec")).agg(
-        F.min(F.struct("ts", *payload)).alias("_m"))
-    marks = marks.withColumn("_m", F.struct(F.col("_sec").alias("sec"), F.col("_m").alias("row")))
-    s = F.floor(F.col("_sec") / F.lit(width)).cast("long")
-    near = marks.withColumn("_slot", F.explode(F.array(s - 1, s, s + 1)))
+    marks = right.groupBy(*keys, "ts").agg(F.min(F.struct(*payload)).alias("_row"))
+    marks = marks.withColumn("_m", F.struct(F.col("ts").alias("ts"), F.col("_row").alias("row"))).drop("_row")
+    s = slot("ts", width)
+    near = marks.withColumn("_slot", F.explode(F.array(s - 1, s, s + 1))).withColumn("_own", F.lit(False))
     no_mark = F.lit(None).cast(marks.schema["_m"].dataType)
-    seconds = wanted.select(*keys, "_sec", no_mark.alias("_m"), s.alias("_slot"), F.lit(True).alias("_own"))
-    merged = seconds.unionByName(near.withColumn("_own", F.lit(False)))
+    times = left.select(*keys, "ts").distinct().select(*keys, "ts", no_mark.alias("_m"), s.alias("_slot"), F.lit(True).alias("_own"))
     group = Window.partitionBy(*keys, "_slot")
-    up = group.orderBy("_sec").rangeBetween(Window.unboundedPreceding, 0)
-    down = group.orderBy(F.desc("_sec")).rangeBetween(Window.unboundedPreceding, 0)
-    merged = merged.select(
-        *keys, "_sec", "_own",
+    # at one instant the mark sorts before the time, both ways
+    up = group.orderBy("ts", "_own").rowsBetween(Window.unboundedPreceding, 0)
+    down = group.orderBy(F.desc("ts"), "_own").rowsBetween(Window.unboundedPreceding, 0)
+    merged = times.unionByName(near).select(
+        *keys, "ts", "_own",
         F.last("_m", ignorenulls=True).over(up).alias("_back"),
         F.last("_m", ignorenulls=True).over(down).alias("_ahead"),
     ).where("_own")
-    behind, ahead = F.col("_sec") - F.col("_back.sec"), F.col("_ahead.sec") - F.col("_sec")
-    best = F.when(F.col("_ahead").isNull() | (behind <= ahead), F.col("_back")).otherwise(F.col("_ahead"))
-    answer = merged.withColumn("_best", best).where(F.abs(F.col("_sec") - F.col("_best.sec")) <= tolerance_s)
-    answer = answer.select(*keys, "_sec", *[F.col(f"_best.row.{c}").alias(c) for c in payload])
-    return left.withColumn("_sec", sec).join(answer, [*keys, "_sec"]).drop("_sec")
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    gap = lambda m: F.abs(at - F.unix_micros(F.col(f"{m}.ts").cast("timestamp")))
+    fits = lambda m: F.coalesce(F.abs(epoch_s("ts") - epoch_s(F.col(f"{m}.ts"))) <= tolerance_s, F.lit(False))
+    earlier = fits("_back") & (~fits("_ahead") | (gap("_back") <= gap("_ahead")))
+    answer = merged.where(fits("_back") | fits("_ahead")).withColumn(
+        "_best", F.when(earlier, F.col("_back")).otherwise(F.col("_ahead")))
+    answer = answer.select(*keys, "ts", *[F.col(f"_best.row.{c}").alias(c) for c in payload])
+    return left.join(answer, [*keys, "ts"])
 
 
 def labels_within(left: DataFrame, right: DataFrame, keys: Sequence[str], tolerance_s: int, label: str) -> DataFrame:
@@ -146,11 +146,12 @@ def join_occupancy(rows: DataFrame, occupancy: DataFrame, width_s: int = 10, by:
     return spread_join(keyed, occupancy, [*by, "bucket"]).drop("bucket")
 
 
-def join_minute_rate(rows: DataFrame, rate: DataFrame, width_s: int = 60, by: Sequence[str] = ()) -> DataFrame:
-    """Left join with the counts of the last complete minute; missing counts are 0."""
+def join_minute_rate(rows: DataFrame, rate: DataFrame, width_s: int = 60, by: Sequence[str] = (),
+                     how: str = "left") -> DataFrame:
+    """Join with the counts of the last complete minute; missing counts are 0, `how="inner"` drops such rows."""
     keyed = rows.withColumn("minute", floor_s("ts", width_s))
     counts = ["last_min_takeoffs", "last_min_landings"]
-    return spread_join(keyed, rate, [*by, "minute"], "left").na.fill(0, subset=counts)
+    return spread_join(keyed, rate, [*by, "minute"], how).na.fill(0, subset=counts)
 
 
 def join_meteo_hourly(rows: DataFrame, meteo: DataFrame, ts: str = "ts", time: str = "time", prefix: str = "") -> DataFrame:

@@ -9,7 +9,7 @@ from holdshort.operators import joins, spread
 def naive_nearest(left, right, tolerance):
     out = {}
     for i, (key, t) in enumerate(left):
-        found = [(abs(int(t) - int(u)), u, c) for k, u, c in right if k == key and abs(int(t) - int(u)) <= tolerance]
+        found = [(round(abs(t - u), 3), u, c) for k, u, c in right if k == key and abs(int(t) - int(u)) <= tolerance]
         if found:
             out[i] = min(found)[2]
     return out
@@ -32,6 +32,18 @@ def test_nearest_ties_go_to_the_earlier_then_smaller(table):
     assert joins.nearest_within(left, right, ["k"], 10, ["c"]).first().c == "y"
 
 
+def test_nearest_uses_the_closest_time_within_a_second(table):
+    left = table([("a", 10.002)], "k string, ts ts")
+    right = table([("a", 10.0, "x"), ("a", 10.001, "y")], "k string, ts ts, c string")
+    assert joins.nearest_within(left, right, ["k"], 1, ["c"]).first().c == "y"
+
+
+def test_nearest_checks_the_tolerance_on_each_side(table):
+    left = table([("a", 10.0)], "k string, ts ts")
+    right = table([("a", 8.99, "two seconds before"), ("a", 11.5, "one second after")], "k string, ts ts, c string")
+    assert joins.nearest_within(left, right, ["k"], 1, ["c"]).first().c == "one second after"
+
+
 def test_labels_within_equals_brute_force(table):
     rnd = random.Random(4)
     left = [(i, rnd.choice("ab"), round(rnd.uniform(0, 300), 3)) for i in range(100)]
