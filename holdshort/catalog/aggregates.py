@@ -8,7 +8,7 @@ from holdshort.catalog import query
 from holdshort.catalog.joins import STATES, states
 from holdshort.catalog.sql import ERR, MSG, WAITS
 from holdshort.catalog.tables import messages, table, wait_rows
-from holdshort.operators import movements, projections, reports, statistics
+from holdshort.operators import projections, reports, statistics
 
 
 def rounded(df, *columns, digits=6):

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from holdshort import airport
 from holdshort.catalog import query
-from holdshort.catalog.cleaning import answer_sheet, micros
+from holdshort.catalog.cleaning import answer_sheet
 from holdshort.catalog.decoding import raw_frames
-from holdshort.catalog.sql import MSG, sec
+from holdshort.catalog.sql import MSG
 from holdshort.catalog.tables import messages, pick, table
 from holdshort.operators import scenarios
 from holdshort.session import scratch_path
@@ -118,7 +119,6 @@ asked AS (SELECT scenario_name, s, CAST(min(CAST(icao AS BIGINT)) AS VARCHAR) AS
 
 def predictions(spark, sf):
     """Scored rows of the ten scenarios: every second row is at the asked holding point."""
-    from holdshort import airport
     e, s = F.col("event_id"), F.col("user_id") % 10
     points = airport.HOLDING_POINTS
     asked = e % 2 == 0

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 
 from holdshort import airport
 from holdshort.catalog import query
-from holdshort.catalog.cleaning import DAY_S, FINAL, HOUR_S, TEST_SETTINGS, micros
+from holdshort.catalog.cleaning import DAY_S, FINAL, HOUR_S, TEST_SETTINGS, answer_sheet, micros, scenario_raw
 from holdshort.catalog.joins import (
-    ASOF, FLAG_NAMES, OCC, RATE, STATES, WT, located_rows, states,
+    FLAG_NAMES, OCC, RATE, STATES, WT, located_rows, states,
 )
 from holdshort.catalog.sql import CAT, HOLIDAYS, MSG, POS, WAITS, events, haversine, located, nearest, num, sec, segment
 from holdshort.catalog.tables import messages, meteo, wait_rows
@@ -248,7 +248,6 @@ def _scenario_feature_table(spark, sf):
 @query("scenario_scoring")
 def _scenario_scoring(spark, sf):
     """Features of ten scenarios, the rule-based estimate as model, answers for all of them."""
-    from holdshort.catalog.cleaning import answer_sheet, scenario_raw
     raw = scenario_raw(spark, sf).withColumns({"tc": 5 + F.col("tc") % 17, "df": F.lit(17)})
     near = F.col("ts") % 2 == 0
     raw = raw.withColumns({"lat_deg": F.when(near, airport.CENTRE[0]).otherwise(F.col("lat_deg")), "lon_deg": F.when(near, airport.CENTRE[1]).otherwise(F.col("lon_deg"))})

@@ -37,9 +37,9 @@ def booleans_to_int(df: DataFrame, columns: Sequence[str] | None = None) -> Data
 
 
 def _indexers(columns):
-    # alphabetical order does not depend on how rows are distributed, frequency ties do
-    return [StringIndexer(inputCol=c, outputCol=f"{c}_index", handleInvalid="keep", stringOrderType="alphabetAsc")
-            for c in columns]
+    # one pass for all columns; alphabetical order does not depend on how rows are distributed, frequency ties do
+    return [StringIndexer(inputCols=list(columns), outputCols=[f"{c}_index" for c in columns], handleInvalid="keep",
+                          stringOrderType="alphabetAsc")] if columns else []
 
 
 def feature_pipeline_lr(categorical: Sequence[str], numeric: Sequence[str], boolean: Sequence[str] = ()) -> Pipeline:

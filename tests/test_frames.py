@@ -3,7 +3,6 @@
 import base64
 
 import pytest
-from pyspark.sql import functions as F
 
 from holdshort.functions import frames
 from holdshort.operators.decoding import decode_messages
