@@ -1,0 +1,31 @@
+"""Registered queries of the subpackage and the SQL they are checked with."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+SQL: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None):
+    """Register a query; without SQL a test compares it with brute force."""
+    def register(fn):
+        if name in QUERIES:
+            raise ValueError(f"{name} is registered twice")
+
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
+        if sql:
+            SQL[name] = sql
+        return run
+    return register
+
+
+def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
