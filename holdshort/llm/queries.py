@@ -6,9 +6,100 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdshort.llm import byte_bpe, token_counts
+from holdshort.llm import byte_bpe, hilbert_shards, language_id, mixing, quality_classifier, token_counts, top_k
 from holdshort.llm.registry import load, query
-from holdshort.session import scratch_path
+from holdshort.session import freeze, scratch_path
+
+
+@query("op1_quality_classifier")
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text")
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3
+    model = quality_classifier.fit(docs, load(spark, sf_dir, "labels"), fold != 1)
+    scored = quality_classifier.score(docs, model)
+    return scored.select(
+        "doc_id", F.coalesce(fold == 1, F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op2_hilbert_shards")
+def op2_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
+    docs = freeze(load(spark, sf_dir, "documents").select(
+        "doc_id", "lang", "source", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"),
+        F.log2(F.octet_length(text) + 1.0).alias("size_log")))
+    cut = hilbert_shards.shards(docs, ["lang", "source", "size_log"], ["text_crc32", "doc_id"], n_shards=8)
+    return cut.select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "curve_index")
+
+
+OP3_SQL = r"""
+WITH texts AS (
+    SELECT doc_id, source, coalesce(text, '') AS text,
+           len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+'))::BIGINT AS size FROM documents),
+docs AS (
+    SELECT doc_id, source, size, text,
+           -ln((('0x' || substr(md5('17:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE + 0.5::DOUBLE)
+               / 4503599627370496::DOUBLE)
+           / (1::DOUBLE / (1::DOUBLE + 10::DOUBLE * (length(text) - length(translate(text, '#*$%&|<>!', '')))::DOUBLE
+                           / greatest(size, 1)::DOUBLE)) AS draw FROM texts),
+sizes AS (SELECT source, sum(size)::BIGINT AS source_size FROM docs GROUP BY source),
+weighed AS (
+    SELECT *, [5, 2, 1][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::BIGINT AS weight FROM sizes),
+levels AS (
+    SELECT *, (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(2 * source_size) OVER earlier, 0)::DOUBLE)
+              / (sum(weight) OVER () - coalesce(sum(weight) OVER earlier, 0))::DOUBLE AS level,
+           2 * source_size::DOUBLE / weight::DOUBLE AS fill
+    FROM weighed
+    WINDOW earlier AS (ORDER BY 2 * source_size::DOUBLE / weight::DOUBLE, source NULLS LAST
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+found AS (SELECT (SELECT level FROM levels WHERE level < fill ORDER BY fill, source NULLS LAST LIMIT 1) AS level),
+targets AS (
+    SELECT source, source_size, least(2 * source_size::DOUBLE, coalesce(found.level * weight, 2 * source_size::DOUBLE)) AS target
+    FROM weighed, found),
+budgets AS (
+    SELECT *, round(target)::BIGINT AS budget,
+           CASE WHEN source_size > 0 THEN round(target)::BIGINT // source_size ELSE 0 END AS epochs FROM targets),
+placed AS (
+    SELECT doc_id, d.size, source_size, target, budget, epochs,
+           coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY draw, doc_id NULLS LAST, d.size
+                                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead
+    FROM docs d JOIN budgets b ON d.source IS NOT DISTINCT FROM b.source)
+SELECT doc_id, size, source_size, target,
+       (epochs * size + greatest(0, least(size, budget - epochs * source_size - ahead)))::BIGINT AS taken
+FROM placed
+"""
+
+
+@query("op3_mixing", OP3_SQL)
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    size = mixing.n_words(F.col("text"))
+    rows = docs.select(F.col("doc_id").alias("key"), "source", size.alias("size"),
+                       mixing.quality_weight(F.col("text"), size).alias("weight"))
+    mixed = mixing.mix(rows)
+    return mixed.select(F.col("key").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+OP4_SQL = """
+WITH vectors AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS vector FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.vector, c.vector)::BIGINT AS score
+    FROM vectors q JOIN vectors c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.vector) = len(c.vector)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
+@query("op4_top_k", OP4_SQL)
+def op4_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = load(spark, sf_dir, "embeddings").select("vec_id", top_k.quantised(F.col("embedding")).alias("vector"))
+    return top_k.top_k(rows, F.col("vec_id") % 50 == 0, k=5)
 
 
 @query("op5_byte_bpe")
@@ -29,3 +120,14 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = scratch_path(spark, "token-counts")
     counted = token_counts.token_counts(load(spark, sf_dir, "documents"), tokenizer, store)
     return counted.withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
+@query("op7_language_id")
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = language_id.fit(load(spark, sf_dir, "documents"))
+    pages = load(spark, sf_dir, "pages")
+    rows = pages.select(
+        F.col("page_id").alias("key"), F.regexp_replace("html", language_id.HTML_MARKUP, " ").alias("text"),
+        F.regexp_extract("html", language_id.HTML_DECLARED, 1).alias("declared"),
+        F.regexp_extract("url", language_id.URL_HOST, 1).alias("host"))
+    return language_id.identify(rows, model).withColumnRenamed("key", "page_id")
