@@ -6,7 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdshort.llm import byte_bpe, hilbert_shards, language_id, mixing, quality_classifier, token_counts, top_k
+from holdshort.llm import (
+    byte_bpe, golay_simhash, hilbert_shards, language_id, license_scan, mixing, quality_classifier, quality_rules, token_counts,
+    top_k,
+)
 from holdshort.llm.registry import load, query
 from holdshort.session import freeze, scratch_path
 
@@ -131,3 +134,25 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.regexp_extract("html", language_id.HTML_DECLARED, 1).alias("declared"),
         F.regexp_extract("url", language_id.URL_HOST, 1).alias("host"))
     return language_id.identify(rows, model).withColumnRenamed("key", "page_id")
+
+
+@query("op8_quality_rules")
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules.judge(load(spark, sf_dir, "documents"))
+    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"),
+        (~failed & (F.col("quality") >= 0.5)).alias("kept"), "quality")
+
+
+@query("op9_license_scan", license_scan.oracle())
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan(load(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.array_join("licenses", ",").alias("licenses"), F.array_join("known", " ").alias("known"),
+                        "n_unknown")
+
+
+@query("op10_simhash_golay")
+def op10_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = golay_simhash.grouped(load(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
