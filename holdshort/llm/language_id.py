@@ -49,10 +49,12 @@ class Settings:
 
 
 def word_features(word: str, settings: Settings) -> list[int]:
+    """Buckets of a word and of its byte n-grams; the marks at its ends count in longer ones only, every word has them."""
     marked = f"<{word.lower()}>".encode("utf-8", "surrogatepass")
     out = [crc32(marked) % settings.buckets]
     for n in settings.ngrams:
-        out += [crc32(marked[i:i + n], n) % settings.buckets for i in range(len(marked) - n + 1)]
+        part = marked if n > 1 else marked[1:-1]
+        out += [crc32(part[i:i + n], n) % settings.buckets for i in range(len(part) - n + 1)]
     return out
 
 
@@ -93,14 +95,19 @@ def fit(docs: DataFrame, settings: Settings | None = None, key: str = "doc_id",
         language: str = "lang") -> Model:
     """Count features of labelled texts. Null labels do not count, nor do labels that are empty or "und".
 
-    Rows are taken in the order of a hash of key and text, the same number of each language as far as there are so many;
-    a taken text counts as a whole. At most languages x buckets numbers reach the driver.
+    Rows are taken by a hash of key and text, the same number of each language as far as there are so many; a taken text
+    counts as a whole. At most languages x buckets numbers reach the driver.
     """
     settings = settings or Settings()
     named = docs.select(F.col(language).alias("_lang"), F.xxhash64(key, text).alias("_hash"), F.col(text).alias("_text"))
     named = named.where(F.col("_lang").isNotNull() & ~F.col("_lang").isin("", UNKNOWN))
+    # a language with many rows is thinned by its hash to a few times what is wanted before rows are ranked
+    sizes = named.groupBy("_lang").agg(F.count(F.lit(1)).alias("_n"))
+    share = F.least(F.lit(1.0), F.lit(4.0 * settings.max_rows) / F.col("_n"))
+    thinned = spread_join(named.select("_lang", "_hash"), sizes, ["_lang"]).where(
+        F.shiftrightunsigned("_hash", 1) / float(1 << 63) < share)
     turn = F.row_number().over(Window.partitionBy("_lang").orderBy("_hash"))
-    sample = (named.select("_lang", "_hash").withColumn("_turn", turn).where(F.col("_turn") <= settings.max_rows)
+    sample = (thinned.withColumn("_turn", turn).where(F.col("_turn") <= settings.max_rows)
               .orderBy("_turn", "_lang").limit(settings.max_rows).select("_lang", "_hash").distinct())
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -109,8 +109,7 @@ def estimate(patterns: DataFrame, votes: list[str], rounds: int = 40, trust: tup
     """The probability that a vote pattern is that of a good document, as an expression over the vote columns.
 
     `patterns` has the votes and their number `n`. A document is good or has the fault that one of the rules looks for;
-    there the rule is right with its accuracy on faults, while the others vote as on good documents. Silence tells
-    nothing. Accuracies on good and on faulty documents start at `trust` and are smoothed towards it with the weight of
+    there the rule is right with its accuracy on faults, and what the others say is left open. Silence tells nothing. Accuracies on good and on faulty documents start at `trust` and are smoothed towards it with the weight of
     `held` of all documents. Without documents the start is the result.
     """
     good, bad = ({v: t for v in votes} for t in trust)
@@ -127,11 +126,11 @@ def estimate(patterns: DataFrame, votes: list[str], rounds: int = 40, trust: tup
 
     for _ in range(rounds):
         faults = patterns.withColumn("_good", chance()).select(
-            *votes, "n", *[(odds(v) * F.col("_good") * F.col("n")).alias(f"_{v}") for v in votes])
+            *votes, "n", (F.col("_good") * F.col("n")).alias("_sound"), *[(odds(v) * F.col("_good") * F.col("n")).alias(f"_{v}") for v in votes])
         sums = faults.agg(F.sum("n").alias("n"), *[F.sum(x).alias(f"{v}_{name}") for v in votes for name, x in (
             ("fault", F.col(f"_{v}")),
             ("found", F.when(F.col(v) == -1, F.col(f"_{v}"))), ("judged", F.when(F.col(v) != 0, F.col(f"_{v}"))),
-            ("passed", F.when(F.col(v) == 1, F.col("n") - F.col(f"_{v}"))), ("sound", F.when(F.col(v) != 0, F.col("n") - F.col(f"_{v}"))),
+            ("passed", F.when(F.col(v) == 1, F.col("_sound"))), ("sound", F.when(F.col(v) != 0, F.col("_sound"))),
         )]).first()
         if not sums["n"]:
             break

@@ -222,10 +222,10 @@ def test_expectation_maximisation_against_a_plain_version(spark):
         extra = 0.02 * len(votes)
         new = []
         for j in range(4):
-            mine, at = [f[j] for f in faults], [v[j] for v in votes]
+            mine, at, sound = [f[j] for f in faults], [v[j] for v in votes], [1 - sum(f) for f in faults]
             new.append((
                 sum(mine) / len(votes),
-                min(0.9999, (sum(1 - f for f, v in zip(mine, at) if v == 1) + 0.995 * extra) / (sum(1 - f for f, v in zip(mine, at) if v) + extra)),
+                min(0.9999, (sum(f for f, v in zip(sound, at) if v == 1) + 0.995 * extra) / (sum(f for f, v in zip(sound, at) if v) + extra)),
                 min(0.9999, (sum(f for f, v in zip(mine, at) if v == -1) + 0.9 * extra) / (sum(f for f, v in zip(mine, at) if v) + extra))))
         share, good, bad = (list(x) for x in zip(*new))
     assert all(abs(1 / (1 + sum(odds(v))) - p) < 1e-3 for v, p in got.items())
