@@ -88,12 +88,15 @@ PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 
 @query("one_hot_wide", "SELECT o_orderkey, " + ", ".join(f"CAST(o_orderpriority = '{p}' AS INTEGER) AS \"o_orderpriority_{p}\"" for p in PRIORITIES) + " FROM orders")
 def _one_hot_wide(spark, sf):
-    return encoders.one_hot_wide(orders(spark, sf).select("o_orderkey", "o_orderpriority"), ["o_orderpriority"])
+    rows = orders(spark, sf).select("o_orderkey", "o_orderpriority")
+    return encoders.one_hot_wide(rows, ["o_orderpriority"], {"o_orderpriority": encoders.vocabulary(rows, "o_orderpriority")})
 
 
 @query("one_hot_wide_drop_first", "SELECT o_orderkey, " + ", ".join(f"CAST(o_orderpriority = '{p}' AS INTEGER) AS \"o_orderpriority_{p}\"" for p in PRIORITIES[1:]) + " FROM orders")
 def _one_hot_wide_drop(spark, sf):
-    return encoders.one_hot_wide(orders(spark, sf).select("o_orderkey", "o_orderpriority"), ["o_orderpriority"], drop_first=True)
+    rows = orders(spark, sf).select("o_orderkey", "o_orderpriority")
+    words = {"o_orderpriority": encoders.vocabulary(rows, "o_orderpriority")}
+    return encoders.one_hot_wide(rows, ["o_orderpriority"], words, drop_first=True)
 
 
 @query("align_columns", """SELECT o_orderkey, 1 AS a, CASE WHEN o_orderstatus = 'F' THEN 0 ELSE 1 END AS b FROM orders WHERE o_orderstatus = 'F'

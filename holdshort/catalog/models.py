@@ -75,10 +75,12 @@ def _two_regime(spark, sf):
 
 @query("grid_search")
 def _grid(spark, sf):
-    rows = encoded(spark, sf).select("timestamp", "features", "takeoff_time")
+    rows = freeze(encoders.booleans_to_int(wait_rows(spark, sf)).drop("prediction"))
     folds = splits.expanding_folds(rows, [("1998-12-31", "1999-01-01", "1999-12-31"), ("1999-12-31", "2000-01-01", "2000-12-31")])
     grid = search.param_grid(regParam=[0.01, 1.0], elasticNetParam=[0.0, 1.0])
-    _, results = search.grid_search(lambda **p: regression.linear_regression("takeoff_time", maxIter=20, **p), grid, folds, "takeoff_time")
+    encoder = encoders.feature_pipeline_lr(["runway", "holding_point", "weekday"], NUMERIC, ["is_holiday"])
+    _, results = search.grid_search(lambda **p: regression.linear_regression("takeoff_time", maxIter=50, **p), grid, folds,
+                                    "takeoff_time", encoder=encoder)
     flat = [(r["params"]["regParam"], r["params"]["elasticNetParam"], r["train_mae"], r["train_rmse"], r["val_mae"], r["val_rmse"]) for r in results]
     return rounded(spark.createDataFrame(flat, "reg double, enet double, train_mae double, train_rmse double, val_mae double, val_rmse double"),
                    "train_mae", "train_rmse", "val_mae", "val_rmse", digits=4)
@@ -87,7 +89,8 @@ def _grid(spark, sf):
 @query("top_features")
 def _top_features(spark, sf):
     rows = encoders.booleans_to_int(wait_rows(spark, sf))
-    wide = encoders.one_hot_wide(rows.select("takeoff_time", "runway", "holding_point", *NUMERIC), ["runway", "holding_point"])
+    words = {c: encoders.vocabulary(rows, c) for c in ("runway", "holding_point")}
+    wide = encoders.one_hot_wide(rows.select("takeoff_time", "runway", "holding_point", *NUMERIC), list(words), words)
     names = [c for c in wide.columns if c != "takeoff_time"]
     vectors = wide.select("takeoff_time", array_to_vector(F.array(*[F.col(f"`{c}`").cast("double") for c in names])).alias("features"))
     model = regression.linear_regression("takeoff_time", regParam=0.01).fit(vectors)
@@ -96,7 +99,8 @@ def _top_features(spark, sf):
 
 def class_rows(spark, sf):
     rows = encoders.booleans_to_int(wait_rows(spark, sf)).drop("prediction").withColumn("label", wait_class("takeoff_time").cast("double"))
-    out = encoders.feature_pipeline_minmax(["runway", "holding_point"], NUMERIC).fit(rows).transform(rows)
+    train, _ = splits.time_split(rows, CUT)
+    out = encoders.feature_pipeline_minmax(["runway", "holding_point"], NUMERIC).fit(train).transform(rows)
     return freeze(out.select("timestamp", "weekday", "is_holiday", "label", "features"))
 
 

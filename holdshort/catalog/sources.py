@@ -60,10 +60,13 @@ def _transform_by_key_partition(spark, sf):
 def _scan_meteo_csv(spark, sf):
     path = scratch_path(spark, "weather")
     hourly = table(spark, sf, "events").groupBy(F.date_trunc("hour", "ts").alias("t")).agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("v"))
-    lines = hourly.select(F.lit(1).alias("k"), F.concat_ws(",", F.date_format("t", "yyyy-MM-dd'T'HH:mm"), F.col("n").cast("string"), F.col("v").cast("string")).alias("value"))
-    head = spark.createDataFrame([
-        (-3, "latitude,longitude"), (-2, "40.53,-3.56"), (-1, ""), (0, "time,cloud_cover (%),temperature_2m (°C)")], "k int, value string")
-    head.unionByName(lines).repartition(1).sortWithinPartitions("k").select("value").write.text(path)
+    names = {"time": F.date_format("t", "yyyy-MM-dd'T'HH:mm"), "cloud_cover (%)": F.col("n").cast("string"), "temperature_2m (°C)": F.col("v").cast("string")}
+    # two files whose headers have another order
+    for order, half in ((list(names), "hour(t) < 12"), (list(names)[::-1], "hour(t) >= 12")):
+        lines = hourly.where(half).select(F.lit(1).alias("k"), F.concat_ws(",", *[names[c] for c in order]).alias("value"))
+        head = spark.createDataFrame([
+            (-3, "latitude,longitude"), (-2, "40.53,-3.56"), (-1, ""), (0, ",".join(order))], "k int, value string")
+        head.unionByName(lines).repartition(1).sortWithinPartitions("k").select("value").write.mode("append").text(path)
     return readers.scan_meteo_csv(spark, path).withColumn("time", F.unix_micros(F.col("time").cast("timestamp")))
 
 
@@ -80,6 +83,9 @@ def _scan_aircraft_db(spark, sf):
         quoted(F.when(k % 5 == 0, "").otherwise(F.concat(F.lit("M"), k.cast("string")))).alias("'model'"),
         quoted(F.col("c_mktsegment")).alias("'operator'"), quoted(F.col("c_name")).alias("'owner'"))
     rows.write.csv(path, header=True)
+    # lines with surplus and with missing fields do not count
+    bad = ["'ffff01','1','Maker','M','op','x','y','z'", "'ffff02','1'"]
+    spark.createDataFrame([(line,) for line in [",".join(rows.columns), *bad]], "value string").coalesce(1).write.mode("append").text(path)
     return readers.scan_aircraft_db(spark, path)
 
 

@@ -13,8 +13,6 @@ from pyspark.sql import types as T
 
 from holdshort.operators.spread import number_rows, spread_join
 
-MAX_VALUES = 1000
-
 
 def column_kinds(df: DataFrame, exclude: Sequence[str] = ()) -> dict[str, list[str]]:
     """Names of string, numeric and boolean columns; times and the excluded ones are left out."""
@@ -84,21 +82,32 @@ def features_to_array(df: DataFrame, column: str = "features", out: str = "featu
     return df.withColumn(out, vector_to_array(column))
 
 
-def vocabulary(df: DataFrame, column: str, max_values: int = MAX_VALUES) -> list[str]:
-    """Sorted distinct values of a category column; refuses columns that are no categories."""
-    found = df.where(F.col(column).isNotNull()).select(F.col(column).cast("string")).distinct().limit(max_values + 1).collect()
-    if len(found) > max_values:
-        raise ValueError(f"{column} has more than {max_values} values")
-    return sorted(r[0] for r in found)
+def vocabulary(df: DataFrame, column: str) -> list[str]:
+    """Sorted distinct values of a category column, for the wide form whose columns they become.
+
+    A column with so many values that they do not fit a table's header goes into `one_hot_sparse` instead.
+    """
+    return [r[0] for r in df.where(F.col(column).isNotNull()).select(F.col(column).cast("string")).distinct().sort(column).toLocalIterator()]
+
+
+def one_hot_sparse(df: DataFrame, column: str, codes: DataFrame) -> DataFrame:
+    """Replace a category column by a sparse 0/1 vector: size, indices and values, for any number of categories.
+
+    `codes` is the table of `label_codes`, built on the training rows; unknown and null values give the zero vector.
+    """
+    size = codes.agg(F.count(F.lit(1)).cast("int")).scalar()
+    known = F.col(f"{column}_code").isNotNull()
+    none = lambda kind: F.array().cast(f"array<{kind}>")
+    return spread_join(df, codes, [column], "left").withColumn(column, F.struct(
+        size.alias("size"), F.when(known, F.array(f"{column}_code")).otherwise(none("int")).alias("indices"),
+        F.when(known, F.array(F.lit(1.0))).otherwise(none("double")).alias("values"))).select(*df.columns)
 
 
-def one_hot_wide(df: DataFrame, columns: Sequence[str], vocabularies: dict[str, list[str]] | None = None,
-                 drop_first: bool = False) -> DataFrame:
-    """Replace category columns by 0/1 columns `<column>_<value>`.
+def one_hot_wide(df: DataFrame, columns: Sequence[str], vocabularies: dict[str, list[str]], drop_first: bool = False) -> DataFrame:
+    """Replace category columns by 0/1 columns `<column>_<value>` for the given values.
 
     Train and test share one vocabulary, so they always have the same columns.
     """
-    vocabularies = vocabularies or {c: vocabulary(df, c) for c in columns}
     flags = [
         F.coalesce((F.col(c).cast("string") == v).cast("int"), F.lit(0)).alias(f"{c}_{v}")
         for c in columns for v in vocabularies[c][1 if drop_first else 0:]
@@ -127,7 +136,7 @@ def standardise(df: DataFrame, stats: dict[str, tuple[float, float]]) -> DataFra
 def label_codes(train: DataFrame, label: str) -> DataFrame:
     """(label, code): codes 0, 1, … in alphabetical order of the distinct labels."""
     found = train.where(F.col(label).isNotNull()).select(label).distinct()
-    numbered = number_rows(found, [label], name="_n", parts=1)
+    numbered = number_rows(found, [label], name="_n")
     return numbered.select(label, (F.col("_n") - 1).cast("int").alias(f"{label}_code"))
 
 

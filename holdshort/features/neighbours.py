@@ -15,6 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from holdshort.operators.spread import spread_join
 from holdshort.session import freeze
 
 MAX_PIVOTS = 2000
@@ -33,8 +34,9 @@ def _copies(rows: DataFrame, keep: int) -> DataFrame:
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    square = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2 * a @ b.T
-    return np.sqrt(np.maximum(square, 0.0))
+    """From differences, slice by slice: an expanded square would lose the digits of long vectors."""
+    step = max(1, 4_000_000 // max(1, b.size))
+    return np.concatenate([np.sqrt(((a[i:i + step, None, :] - b[None]) ** 2).sum(2)) for i in range(0, max(1, len(a)), step)])
 
 
 def _matrix(column) -> np.ndarray:
@@ -50,9 +52,6 @@ def _compare(count: int):
         rows = rows.rename(columns={"vid_row": "vid", "vec_row": "vec"}).sort_values("vid")
         a, b = _matrix(base["vec"]), _matrix(rows["vec"])
         d = _distances(a, b)
-        # equal vectors get an exact zero, which the expanded square does not guarantee
-        same = base["vid"].to_numpy()[:, None] == rows["vid"].to_numpy()[None, :]
-        d[same] = 0.0
         best = np.argsort(d, axis=1, kind="stable")[:, :count]
         return pd.DataFrame({
             "vid": np.repeat(base["vid"].to_numpy(), best.shape[1]),
@@ -86,10 +85,12 @@ def nearest_neighbours(rows: DataFrame, k: int, id: str, vector: str, within: st
                        pivots: int | None = None, chunk: int = CHUNK, seed: int = 22) -> DataFrame:
     """(id, neighbour, distance, rank): the k nearest other rows of each row, ties by id; `within` keeps to one label.
 
-    `id` is a unique integer, `vector` an array of numbers.
+    `id` is a unique integer, `vector` an array of numbers. Rows with a null vector, or one with a null component, take no
+    part; rows with a null label are a group of their own.
     """
-    group = F.col(within).cast("string") if within else F.lit("")
-    plain = rows.select(F.col(id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vec"), group.alias("grp"))
+    group = F.coalesce(F.concat(F.lit("="), F.col(within).cast("string")), F.lit("")) if within else F.lit("")
+    whole = F.col(vector).isNotNull() & F.forall(vector, lambda x: x.isNotNull())
+    plain = rows.where(whole).select(F.col(id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vec"), group.alias("grp"))
     count = k + 1
     distinct = freeze(_copies(plain, count))
     n = distinct.count()
@@ -139,7 +140,8 @@ def nearest_neighbours(rows: DataFrame, k: int, id: str, vector: str, within: st
     ranked = near.join(copies, "near").withColumn(
         "_r", F.row_number().over(Window.partitionBy("vid").orderBy("dist", "neighbour"))).where(F.col("_r") <= count)
     lists = ranked.groupBy("vid").agg(F.array_sort(F.collect_list(F.struct("_r", "neighbour", "dist"))).alias("_list"))
-    back = plain.join(distinct.select("grp", "vec", "vid"), ["grp", "vec"]).select("id", "vid").join(lists, "vid")
+    back = plain.join(distinct.select("grp", "vec", "vid"), ["grp", "vec"]).select("id", "vid")
+    back = spread_join(back, lists, ["vid"])
     other = F.slice(F.filter("_list", lambda x: x["neighbour"] != F.col("id")), 1, k)
     found = back.select("id", F.posexplode(other).alias("_p", "_x"))
     return found.select(F.col("id").alias(id), F.col("_x.neighbour").alias("neighbour"), F.col("_x.dist").alias("distance"),

@@ -27,13 +27,17 @@ def accuracy(scored: DataFrame, label: str, prediction: str = "prediction") -> f
 
 
 def grid_search(make: Callable[..., Estimator], grid: Sequence[dict], folds: Sequence[tuple[DataFrame, DataFrame]],
-                target: str, metric: str = "rmse") -> tuple[dict, list[dict]]:
+                target: str, metric: str = "rmse", encoder: Estimator | None = None) -> tuple[dict, list[dict]]:
     """(best parameters, results): every setting is fitted on every fold, errors are averaged over the folds.
 
-    Each fold is cached while its settings are fitted. A model always sees its own fold's training rows only.
+    Each fold is cached while its settings are fitted. A model always sees its own fold's training rows only, and so does
+    the encoder, which is fitted once per fold and gives the features.
     """
     totals = [{"params": p, "train_mae": 0.0, "train_rmse": 0.0, "val_mae": 0.0, "val_rmse": 0.0} for p in grid]
     for train, validation in folds:
+        if encoder is not None:
+            fitted = encoder.fit(train)
+            train, validation = (fitted.transform(x).select("features", target) for x in (train, validation))
         train, validation = train.cache(), validation.cache()
         for params, result in zip(grid, totals):
             model = make(**params).fit(train)

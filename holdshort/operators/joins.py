@@ -129,7 +129,7 @@ def asof_last_event(rows: DataFrame, events: DataFrame, per_day: bool = True, by
         events.withColumn("_day", day).select(*keys, "ts", "wake_category", "event"), keys)
     points = last_event_before(left, ev, keys, ["wake_category", "event"]).withColumnRenamed("event", "_e")
     busy = ev.select(*keys).distinct().withColumn("_busy", F.lit(True))
-    points = points.join(busy, keys, "left").where(F.col("_e").isNotNull() | F.col("_busy").isNull())
+    points = spread_join(points, busy, keys, "left").where(F.col("_e").isNotNull() | F.col("_busy").isNull())
     points = points.select(
         *keys, "ts",
         F.coalesce(F.col("_e.ts"), F.col("ts") - F.expr("INTERVAL 65 SECONDS")).alias("event_ts"),

@@ -211,8 +211,13 @@ def latest_per_key(rows: DataFrame, keys: Sequence[str] = ("callsign",), ts: str
 
 
 def sequence_number(rows: DataFrame, keys: Sequence[str] = ("icao",), order: Sequence[str] = ("ts",)) -> DataFrame:
-    """Number the rows of each key by time."""
-    return number_rows(rows, list(order), keys, "row_num")
+    """Number the rows of each key by time; rows at one time are ordered by their other columns."""
+    return number_rows(rows, _total(rows, order, keys), keys, "row_num")
+
+
+def _total(rows, order, keys):
+    """The order, then all other columns: rows that still tie are alike."""
+    return [*order, *[c for c in rows.columns if c not in (*order, *keys)]]
 
 
 def _at(keys, table, columns):
@@ -254,8 +259,9 @@ def state_durations(messages: DataFrame) -> DataFrame:
 
 def thin_trajectory(rows: DataFrame, near_km: float = 10.0, slow: float = 300.0, near_step: int = 10,
                     far_step: int = 50, order: Sequence[str] = ("ts",)) -> DataFrame:
-    """Per callsign keep every 10th row near the radar at low speed, else every 50th."""
-    numbered = number_rows(rows, list(order), ["callsign"], "_i")
+    """Per callsign keep every 10th row near the radar at low speed, else every 50th; rows at one time are ordered by
+    their other columns."""
+    numbered = number_rows(rows, _total(rows, order, ["callsign"]), ["callsign"], "_i")
     slow_near = (geo.radar_distance_km("lat", "lon") < near_km) & (F.col("speed") <= slow)
     step = F.when(slow_near, near_step).otherwise(far_step)
     return numbered.where((F.col("_i") - 1) % step == 0).drop("_i")

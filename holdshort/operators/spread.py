@@ -108,29 +108,31 @@ def last_event_before(points: DataFrame, events: DataFrame, keys: Sequence[str],
 
 
 def number_rows(df: DataFrame, order: Sequence[Column | str], keys: Sequence[str] = (), name: str = "seq",
-                parts: int | None = None) -> DataFrame:
+                parts: int | None = None, weight: str | None = None) -> DataFrame:
     """Exact 1-based row numbers per key in the given order, however many rows a key has.
 
+    With `weight`, a column of counts, a row stands for so many rows and gets the number of the last of them.
+
     Rows are range-partitioned by (keys, order), so a long key spans many pieces of equal size; the pieces are frozen
     because their limits come from a sample, then numbered one by one and shifted by the sizes of earlier pieces.
     """
     parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     pieces = freeze(df.repartitionByRange(parts, *keys, *order).withColumn("_piece", F.spark_partition_id()))
-    sizes = pieces.groupBy(*keys, "_piece").agg(F.count(F.lit(1)).alias("_n"))
+    sizes = pieces.groupBy(*keys, "_piece").agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("_n"))
     earlier = Window.partitionBy(*keys).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     shifts = sizes.select(*keys, "_piece", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     within = Window.partitionBy(*keys, "_piece").orderBy(*order)
     joined = null_safe_join(pieces, shifts, [*keys, "_piece"])
-    return joined.withColumn(name, F.row_number().over(within) + F.col("_before")).drop("_piece", "_before")
+    place = F.sum(weight).over(within.rowsBetween(Window.unboundedPreceding, 0)) if weight else F.row_number().over(within)
+    return joined.withColumn(name, place + F.col("_before")).drop("_piece", "_before")
 
 
 def with_halo(numbered: DataFrame, before: int, seq: str = "seq", block_rows: int = 100_000) -> DataFrame:
-    """Cut numbered rows into blocks; each block also gets the last `before` rows of the block ahead of it.
+    """Cut numbered rows into blocks; each block also gets the `before` rows ahead of it, from as many blocks as they span.
 
-    Adds `block` and `own` (false for borrowed rows). Needs before < block_rows.
+    Adds `block` and `own` (false for borrowed rows).
     """
     at = F.col(seq) - 1
     home = F.floor(at / F.lit(block_rows)).cast("long")
-    lends = at % block_rows >= block_rows - before
-    spots = F.when(lends, F.array(home, home + 1)).otherwise(F.array(home))
-    return numbered.withColumn("block", F.explode(spots)).withColumn("own", F.col("block") == home)
+    last = F.floor((at + before) / F.lit(block_rows)).cast("long")
+    return numbered.withColumn("block", F.explode(F.sequence(home, last))).withColumn("own", F.col("block") == home)

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from holdshort.functions.timing import WEEKDAYS
-from holdshort.operators.spread import null_safe_join, number_rows, spread_join
+from holdshort.operators.spread import number_rows, spread_join
 
 HOURS = list(range(24))
 
@@ -51,7 +51,7 @@ def pivot_hours(df: DataFrame, row: str, value, finish=lambda c: c) -> DataFrame
 def class_distribution(df: DataFrame, label: str) -> DataFrame:
     """Rows and share per class."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    return counts.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy()))
+    return counts.withColumn("share", F.col("n") / df.agg(F.count(F.lit(1))).scalar())
 
 
 def top_values(df: DataFrame, column: str, k: int = 7) -> DataFrame:
@@ -70,8 +70,8 @@ def top_k_else_other(train: DataFrame, rows: DataFrame, column: str, k: int = 7,
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """Weight per class: rows / (classes x rows of the class)."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    everything = Window.partitionBy()
-    return counts.withColumn("weight", F.sum("n").over(everything) / (F.count(F.lit(1)).over(everything) * F.col("n")))
+    rows, classes = (counts.agg(x).scalar() for x in (F.sum("n"), F.count(F.lit(1))))
+    return counts.withColumn("weight", rows / (classes * F.col("n")))
 
 
 def with_class_weights(rows: DataFrame, weights: DataFrame, label: str) -> DataFrame:
@@ -81,18 +81,28 @@ def with_class_weights(rows: DataFrame, weights: DataFrame, label: str) -> DataF
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
     """Exact quantiles with linear interpolation, (by…, prob, value), of groups of any size.
 
-    Values are numbered in order by range pieces; only the rows next to the wanted ranks are gathered.
+    Equal values are counted first, so a frequent value is one row; the distinct ones are put in order by range pieces,
+    and only those next to the wanted ranks are gathered.
     """
-    kept = df.where(F.col(value).isNotNull()).select(*by, value)
-    ranked = number_rows(kept, [value], list(by), "_rank")
-    sizes = ranked.groupBy(*by).agg(F.max("_rank").alias("_n"))
-    wanted = sizes.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-    at = F.col("prob") * (F.col("_n") - 1)
-    wanted = wanted.select(*by, "prob", (at - F.floor(at)).alias("_part"), (F.floor(at) + 1).alias("_lo"))
-    sides = wanted.withColumn("_side", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn(
-        "_rank", (F.col("_lo") + F.col("_side")).cast("long"))
-    near = null_safe_join(ranked, sides, [*by, "_rank"]).select(
-        *by, "prob", "_part", "_side", F.col(value).cast("double").alias("_v"))
+    counted = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_c"))
+    ranked = number_rows(counted, [value], list(by), "_last", weight="_c")
+    sizes = ranked.groupBy(*by).agg(F.max("_last").alias("_n"))
+    at = [F.lit(float(p)) * (F.col("_n") - 1) for p in probs]
+    ranks = F.array(*[F.struct(
+        F.lit(float(p)).alias("prob"), (a - F.floor(a)).alias("_part"), (F.floor(a) + 1).cast("long").alias("_lo"))
+        for p, a in zip(probs, at)])
+    wanted = sizes.select(*by, ranks.alias("_ranks"))
+    if by:
+        placed = spread_join(ranked.withColumn("_g", F.xxhash64(*by)), wanted.withColumn("_g", F.xxhash64(*by)).drop(*by), ["_g"])
+    else:
+        placed = ranked.withColumn("_ranks", wanted.scalar())
+    first = F.col("_last") - F.col("_c") + 1
+    inside = lambda r: (r >= first) & (r <= F.col("_last"))
+    hits = F.filter("_ranks", lambda r: inside(r["_lo"]) | inside(r["_lo"] + 1))
+    spots = placed.select(*by, value, first.alias("_first"), "_last", F.explode(hits).alias("_r"))
+    sides = F.filter(F.array(F.lit(0), F.lit(1)), lambda s: (F.col("_r._lo") + s >= F.col("_first")) & (F.col("_r._lo") + s <= F.col("_last")))
+    near = spots.select(*by, F.col("_r.prob").alias("prob"), F.col("_r._part").alias("_part"), F.explode(sides).alias("_side"),
+                        F.col(value).cast("double").alias("_v"))
     low = F.max(F.when(F.col("_side") == 0, F.col("_v")))
     high = F.max(F.when(F.col("_side") == 1, F.col("_v")))
     part = F.max("_part")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,28 +28,26 @@ def build_session(app: str = "holdshort", master: str | None = None, **conf: str
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by `spark.checkpoint.dir`.
+    """The folder named by `spark.checkpoint.dir`, else the context's, else one below the warehouse.
 
-    Only a local session (tests) may fall back to a temporary folder: on a cluster a machine-local
-    folder is lost with its executor.
+    All three are on storage that driver and executors share, and are only reached through Spark.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named is None:
-        known = context.getCheckpointDir()
-        if known is not None:
-            return known
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        named = tempfile.mkdtemp(prefix="holdshort-")
+        named = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(named)
     return named
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder; what is written there goes when the session's process ends."""
+    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    jvm, context = spark.sparkContext._jvm, spark.sparkContext._jsc
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(context.hadoopConfiguration()).deleteOnExit(place)
+    return path
 
 
 def freeze(df: DataFrame) -> DataFrame:

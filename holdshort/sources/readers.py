@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,19 +36,30 @@ def consolidate_parquet(spark: SparkSession, directory: str, schema: T.StructTyp
     return reader.parquet(directory)
 
 
-def scan_meteo_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None, skip: int = 2) -> DataFrame:
-    """Hourly weather file: `skip` lines above the header, `time` column, all other columns numbers.
+def scan_meteo_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """Hourly weather files: some lines above the header, a `time` column, all other columns numbers.
 
-    The file is a bounded dimension (one row per hour). The header decides the schema, then one CSV read parses the
-    lines; those above the header fail to parse as times and are dropped with it.
+    The header is the line with a field `time`; each file has its own, so files may differ in columns and their order, and
+    a column that a file lacks is null there. Files are a bounded dimension (one row per hour): their names and headers
+    reach the driver. Lines above the header fail to parse as times and are dropped with it.
     """
-    if columns is None:
-        # a blank line may stand between the extra lines and the header
-        head = [r.value for r in spark.read.text(path).limit(skip + 2).collect()]
-        columns = next(line for line in head[skip:] if line.strip()).split(",")
-    fields = [T.StructField(c, T.StringType() if c == "time" else T.DoubleType()) for c in columns]
-    rows = spark.read.csv(path, schema=T.StructType(fields), header=False, mode="PERMISSIVE")
-    return rows.withColumn("time", F.expr("try_to_timestamp(time)")).where("time IS NOT NULL")
+    if columns is not None:
+        headers = {path: list(columns)}
+    else:
+        lines = spark.read.text(path).where(F.col("value").rlike(r"(^|,)time(,|$)"))
+        headers = {r.file: r.head.split(",") for r in lines.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+            F.min("value").alias("head")).collect()}
+    files: dict[tuple[str, ...], list[str]] = {}
+    for file, names in sorted(headers.items()):
+        files.setdefault(tuple(names), []).append(file)
+    parts = []
+    for names, paths in files.items():
+        schema = T.StructType([T.StructField(c, T.StringType() if c == "time" else T.DoubleType()) for c in names])
+        rows = spark.read.csv(paths, schema=schema, header=False, mode="PERMISSIVE")
+        parts.append(rows.withColumn("time", F.expr("try_to_timestamp(time)")).where("time IS NOT NULL"))
+    if not parts:
+        raise ValueError(f"no line of {path} has a field named time")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 # Columns of the aircraft registry that are kept.
@@ -57,7 +69,11 @@ AIRCRAFT_COLUMNS = ["icao24", "engines", "manufacturerName", "model", "operator"
 def scan_aircraft_db(spark: SparkSession, path: str) -> DataFrame:
     """Aircraft registry with single-quoted names and values: quotes are stripped, an empty value is null, the first
     character of `engines` gives the engine count, addresses are upper case, malformed lines are dropped."""
-    raw = spark.read.csv(path, header=True, mode="DROPMALFORMED", quote='"')
+    names = spark.read.csv(path, header=True, quote='"').columns
+    fields = [T.StructField(c, T.StringType()) for c in [*names, "_malformed"]]
+    # all fields are parsed: a line with too many or too few would pass if only some were read
+    raw = spark.read.csv(path, schema=T.StructType(fields), header=True, mode="PERMISSIVE", quote='"',
+                         columnNameOfCorruptRecord="_malformed").where("_malformed IS NULL").drop("_malformed")
     rows = raw.toDF(*[c.replace("'", "") for c in raw.columns]).select(*AIRCRAFT_COLUMNS)
     clean = rows.select(*[
         F.when(F.col(c) != "''", F.regexp_replace(c, "'", "")).alias(c) for c in AIRCRAFT_COLUMNS])

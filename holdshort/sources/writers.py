@@ -42,10 +42,10 @@ def sink_parquet_by_date(rows: DataFrame, path: str, ts: str = "timestamp") -> N
 
 def sink_parquet_single(rows: DataFrame, path: str) -> None:
     """One file, for a day's result of known small size; larger tables go to `sink_parquet_by_date`."""
-    rows.coalesce(1).write.mode("overwrite").parquet(path)
+    rows.repartition(1).write.mode("overwrite").parquet(path)
 
 
 def sink_csv_answers(answers: DataFrame, path: str) -> None:
     """Answer sheet with a header, in scenario order (a few hundred rows)."""
-    answers.select("scenario_name", "icao", "holding_point", "runway", "time_to_takeoff_s").coalesce(
+    answers.select("scenario_name", "icao", "holding_point", "runway", "time_to_takeoff_s").repartition(
         1).sortWithinPartitions("scenario_name").write.mode("overwrite").csv(path, header=True)

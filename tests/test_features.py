@@ -79,8 +79,41 @@ def test_one_vocabulary_for_train_and_test(spark):
     words = {"c": encoders.vocabulary(train, "c")}
     assert encoders.one_hot_wide(train, ["c"], words).columns == encoders.one_hot_wide(test, ["c"], words).columns
     assert sorted(map(tuple, encoders.one_hot_wide(test, ["c"], words).collect())) == [(0, 0), (1, 0)]
-    with pytest.raises(ValueError):
-        encoders.vocabulary(spark.range(30).select(F.col("id").cast("string").alias("c")), "c", max_values=10)
+
+
+def test_categories_of_any_number(spark):
+    rows = spark.range(1500).select(F.format_string("v%04d", "id").alias("c"), F.col("id").alias("k"))
+    assert encoders.vocabulary(rows, "c") == [f"v{i:04d}" for i in range(1500)]
+    more = rows.unionByName(spark.createDataFrame([("new", -1), (None, -2)], "c string, k bigint"))
+    coded = {r.k: r.c for r in encoders.one_hot_sparse(more, "c", encoders.label_codes(rows, "c")).collect()}
+    assert all(coded[i].size == 1500 and coded[i].indices == [i] and coded[i].values == [1.0] for i in range(1500))
+    assert coded[-1].indices == coded[-2].indices == []
+
+
+def test_frequent_values_do_not_shift_quantiles(spark):
+    values = [1.0] * 900 + [float(i) for i in range(100)]
+    rows = spark.createDataFrame([("a", v) for v in values] + [(None, v * 2) for v in values], "g string, v double")
+    probs = [0.0, 0.05, 0.5, 0.95, 0.999, 1.0]
+    got = {(r.g, r.prob): r.value for r in statistics.exact_quantiles(rows, "v", probs, ["g"]).collect()}
+    alone = {r.prob: r.value for r in statistics.exact_quantiles(rows.where("g = 'a'"), "v", probs).collect()}
+    for p in probs:
+        want = float(np.quantile(values, p))
+        assert abs(got["a", p] - want) < 1e-9 and abs(got[None, p] - 2 * want) < 1e-9 and abs(alone[p] - want) < 1e-9
+
+
+def test_neighbours_far_from_the_origin_and_odd_rows(spark):
+    rows = [(i, [1e6 + 0.001 * i * i, 1e6], "x" if i % 2 else None) for i in range(12)] + [(50, None, "x"), (51, [None, 1.0], "x")]
+    df = spark.createDataFrame(rows, "id bigint, v array<double>, label string")
+    got = {r.id: r.neighbour for r in nearest_neighbours(df, 1, "id", "v").collect()}
+    assert got == {i: max(0, i - 1) if i else 1 for i in range(12)}
+    within = {r.id: r.neighbour for r in nearest_neighbours(df, 1, "id", "v", within="label").collect()}
+    assert within == {i: i - 2 if i > 1 else i + 2 for i in range(12)}
+
+
+def test_class_shares_without_a_global_window(spark):
+    rows = spark.createDataFrame([("a",)] * 9 + [("b",)], "label string")
+    assert {r.label: r.share for r in statistics.class_distribution(rows, "label").collect()} == {"a": 0.9, "b": 0.1}
+    assert {r.label: round(r.weight, 6) for r in statistics.class_weights(rows, "label").collect()} == {"a": round(10 / 18, 6), "b": 5.0}
 
 
 def test_quantiles_of_small_groups(spark):

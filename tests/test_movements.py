@@ -147,3 +147,18 @@ def test_time_slices_share_edges(table):
     rows = table([(0.0,), (30.0,), (31.0,), (120.0,)], "ts ts")
     got = sorted((seconds(r, "slice_ts"), seconds(r, "ts")) for r in movements.position_time_slices(rows, 1).collect())
     assert got == [(0.0, 0.0), (0.0, 30.0), (60.0, 30.0), (60.0, 31.0), (120.0, 120.0)]
+
+
+def test_sequences_longer_than_a_block(spark, monkeypatch):
+    real = spread.with_halo
+    monkeypatch.setattr(movements, "with_halo", lambda *a, **k: real(*a, **(k | {"block_rows": 8})))
+    rows = spark.range(40).select(F.lit("a").alias("k"), F.col("id").alias("t"))
+    got = {r.t: list(r.steps) for r in movements.sequences(rows, 20, ["t"], ["k"], ["t"]).collect()}
+    assert got == {t: list(range(t - 20, t)) for t in range(20, 40)}
+
+
+def test_rows_at_one_time_have_one_order(spark):
+    rows = spark.createDataFrame([("a", 5, i * 7 % 30) for i in range(30)], "icao string, ts int, x int")
+    for parts in (1, 7):
+        got = movements.sequence_number(rows.repartition(parts)).collect()
+        assert {r.x: r.row_num for r in got} == {x: x + 1 for x in range(30)}
