@@ -12,6 +12,7 @@ from holdshort.features import encoders, splits
 from holdshort.functions.labels import day_off, wait_class
 from holdshort.models import classification, regression, search
 from holdshort.operators import reports, statistics
+from holdshort.plans import training
 from holdshort.session import freeze
 
 NUMERIC = ["last_min_takeoffs", "last_min_landings", "time_since_last_event_seconds", "hour"]
@@ -86,6 +87,19 @@ def _grid(spark, sf):
                    "train_mae", "train_rmse", "val_mae", "val_rmse", digits=4)
 
 
+#: Training grows by a year, the next year validates.
+YEARS = [(f"{y}-12-31", f"{y + 1}-01-01", f"{y + 1}-12-31") for y in range(1995, 2000)]
+
+
+@query("training_plan")
+def _training_plan(spark, sf):
+    rows = freeze(encoders.booleans_to_int(wait_rows(spark, sf)).drop("prediction"))
+    encoder = encoders.feature_pipeline_lr(["runway", "holding_point", "weekday"], NUMERIC, ["is_holiday"])
+    trained = training.train(rows, CUT, YEARS, encoder, lambda **p: regression.linear_regression("takeoff_time", **p),
+                             search.param_grid(**regression.LINEAR_GRID))
+    return rounded(trained.report(), "value", digits=3)
+
+
 @query("top_features")
 def _top_features(spark, sf):
     rows = encoders.booleans_to_int(wait_rows(spark, sf))

@@ -67,28 +67,29 @@ class AdaBoostModel:
 
 
 def ada_boost(train: DataFrame, target: str, features: str = "features", rounds: int = 50, rate: float = 1.0,
-              loss: str = "linear", max_depth: int = 3, seed: int = 22, cut_every: int = 10) -> AdaBoostModel:
+              loss: str = "linear", max_depth: int = 3, seed: int = 22) -> AdaBoostModel:
     """AdaBoost.R2: rows that the last tree misses gain weight for the next one.
 
-    Weights enter the trees directly instead of by resampling. Every `cut_every` rounds the weighted rows are written
-    to the shared folder, so the plan does not grow with the rounds.
+    Weights enter the trees directly instead of by resampling. Each round fits a tree, writes the rows with their errors to
+    the shared folder and reads them once for sums; an exponential loss, which needs the largest error first, twice.
     """
     rows = freeze(train.select(features, target).withColumn("_w", F.lit(1.0)))
     trees, weights = [], []
     for i in range(rounds):
-        total = rows.agg(F.sum("_w")).first()[0]
-        rows = rows.withColumn("_w", F.col("_w") / total)
         tree = DecisionTreeRegressor(featuresCol=features, labelCol=target, weightCol="_w", maxDepth=max_depth,
                                      seed=seed + i).fit(rows)
-        missed = tree.transform(rows).withColumn("_e", F.abs(F.col("prediction") - F.col(target))).drop("prediction")
-        largest = missed.agg(F.max("_e")).first()[0]
+        # errors are written each round: the next one neither repeats the trees before it nor grows its plan
+        missed = freeze(tree.transform(rows).withColumn("_e", F.abs(F.col("prediction") - F.col(target))).drop("prediction"))
+        w, e = F.col("_w"), F.col("_e")
+        total, largest, first, second = missed.agg(F.sum(w), F.max(e), F.sum(w * e), F.sum(w * e * e)).first()
         if not largest:
             trees.append(tree)
             weights.append(1.0)
             break
         share = F.col("_e") / largest
         share = {"linear": share, "square": share * share, "exponential": 1 - F.exp(-share)}[loss]
-        mean = missed.agg(F.sum(F.col("_w") * share)).first()[0]
+        mean = {"linear": lambda: first / largest, "square": lambda: second / largest ** 2,
+                "exponential": lambda: missed.agg(F.sum(w * share)).first()[0]}[loss]() / total
         if mean >= 0.5:
             if not trees:
                 trees.append(tree)
@@ -97,9 +98,7 @@ def ada_boost(train: DataFrame, target: str, features: str = "features", rounds:
         beta = mean / (1 - mean)
         trees.append(tree)
         weights.append(rate * math.log(1 / beta))
-        rows = missed.withColumn("_w", F.col("_w") * F.pow(F.lit(beta), (1 - share) * rate)).drop("_e")
-        if (i + 1) % cut_every == 0:
-            rows = freeze(rows)
+        rows = missed.withColumn("_w", w / total * F.pow(F.lit(beta), (1 - share) * rate)).drop("_e")
     return AdaBoostModel(trees, weights)
 
 

@@ -76,11 +76,11 @@ def waits(messages: DataFrame, located: DataFrame, settings: Settings = Settings
 
 
 def feature_table(messages: DataFrame, settings: Settings = Settings(), scenario: bool | None = None) -> DataFrame:
-    """The whole job. The located positions feed four branches and the runway events two, so both are written
-    once to the shared folder."""
+    """The whole job. The located positions feed four branches, the stopped rows and the runway events several, so
+    these are written once to the shared folder."""
     s = settings if scenario is None else replace(settings, scenario=scenario)
     located = freeze(located_positions(messages, s))
-    stops = waits(messages, located, s)
+    stops = freeze(waits(messages, located, s))
     events = freeze(movements.runway_events(located, s.per_day, s.by))
     rows = joins.join_occupancy(stops, movements.occupancy(located, s.occupancy_s, s.by), s.occupancy_s, s.by)
     rows = joins.join_minute_rate(rows, movements.events_per_minute(events, s.rate_s, s.by), s.rate_s, s.by)

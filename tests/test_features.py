@@ -151,3 +151,26 @@ def test_tree_ensembles_fit_a_line(line):
     ):
         mae, _ = search.regression_errors(scored, "takeoff_time")
         assert scored.count() == 400 and mae < 5
+
+
+def test_training_does_not_see_test_rows(spark):
+    from holdshort.plans import training
+
+    rnd = random.Random(3)
+    rows = [(f"2020-{1 + i % 10:02d}-{1 + i % 27:02d} 10:00:00", rnd.choice("ab"), float(i % 13), float(i % 13 * 3 + rnd.random())) for i in range(600)]
+    df = spark.createDataFrame(rows, "t string, kind string, x double, y double").withColumn("timestamp", F.col("t").cast("timestamp")).drop("t")
+    folds = [("2020-04-30", "2020-05-01", "2020-05-31"), ("2020-06-30", "2020-07-01", "2020-07-31")]
+
+    def run(table):
+        return training.train(table, "2020-09-01", folds, encoders.feature_pipeline_lr(["kind"], ["x"]),
+                              lambda **p: regression.linear_regression("y", **p), search.param_grid(regParam=[0.0, 50.0]), target="y")
+
+    got = run(df)
+    assert got.best == {"regParam": 0.0} and len(got.results) == 2
+    weights = {r.feature: r.weight for r in got.importances().collect()}
+    assert any(name.startswith("kind_ohe") for name in weights) and max(weights.values()) > 5
+    changed = run(df.withColumn("x", F.when(F.col("timestamp") >= "2020-09-01", 1000.0).otherwise(F.col("x"))))
+    assert (changed.model.coefficients.toArray() == got.model.coefficients.toArray()).all()
+    forest = training.train(df, "2020-09-01", folds[:1], encoders.feature_pipeline_lr(["kind"], ["x"]),
+                            lambda **p: regression.random_forest("y", numTrees=5, **p), [{"maxDepth": 3}], target="y")
+    assert abs(sum(r.weight for r in forest.importances().collect()) - 1) < 1e-6
