@@ -8,7 +8,7 @@ from holdshort import airport
 from holdshort.catalog import query
 from holdshort.catalog.sql import num
 from holdshort.catalog.tables import table
-from holdshort.functions.frames import CATEGORIES
+from holdshort.functions.frames import CATEGORIES, gray_altitude_ft
 from holdshort.operators import decoding as ops
 
 
@@ -53,7 +53,13 @@ def decoded(spark, sf):
     return ops.decode_messages(raw_frames(spark, sf))
 
 
-@query("decode_header", _with_bad(f"CASE WHEN kind < 4 THEN 17 WHEN kind = 4 THEN 4 ELSE 5 END AS downlink_format, CASE WHEN kind < 4 THEN printf('%06X', user_id + 4096) END AS icao, CAST({TC} AS DOUBLE) AS typecode", "NULL, NULL, NULL"))
+#: Parity of the first four bytes of a reply, against the last three that all replies here have.
+REPLY = "((CASE kind WHEN 4 THEN 32 ELSE 40 END + e % 4) << 24) + CASE kind WHEN 4 THEN 16 + e * 32 % 64 + e % 16 + ((e % 60) << 7) ELSE e * 31 % 8192 END"
+HIDDEN = f"""printf('%06X', xor(list_reduce(list_concat([({REPLY})::BIGINT << 24], range(55, 23, -1)),
+  lambda a, i: CASE WHEN (a >> i) & 1 = 1 THEN xor(a, 33551369::BIGINT << (i - 24)) ELSE a END), 11259375))"""
+
+
+@query("decode_header", _with_bad(f"CASE WHEN kind < 4 THEN 17 WHEN kind = 4 THEN 4 ELSE 5 END AS downlink_format, CASE WHEN kind < 4 THEN printf('%06X', user_id + 4096) ELSE {HIDDEN} END AS icao, CAST({TC} AS DOUBLE) AS typecode", "NULL, NULL, NULL"))
 def _decode_header(spark, sf):
     return decoded(spark, sf).select("event_id", "downlink_format", "icao", "typecode")
 
@@ -101,6 +107,20 @@ def _altitude_squawk(spark, sf):
     return decoded(spark, sf).select("event_id", "altitude_ft", "squawk")
 
 
+def _gray(bits):
+    """SQL for the number of a reflected binary code: each bit is the parity of the bits up to it."""
+    at = [f"((event_id % 8192) // {2 ** (13 - i)} % 2)" for i in bits]
+    return " + ".join(f"(({' + '.join(at[:k + 1])}) % 2) * {2 ** (len(bits) - 1 - k)}" for k in range(len(bits)))
+
+
+@query("gray_altitude", f"""SELECT event_id, (fives * 500 + CASE WHEN fives % 2 = 1 THEN 6 - step ELSE step END * 100 - 1300)::BIGINT AS altitude_ft FROM (
+  SELECT event_id, fives, CASE WHEN ones = 7 THEN 5 WHEN ones NOT IN (0, 5, 6) THEN ones END AS step FROM (
+    SELECT event_id, {_gray((11, 13, 2, 4, 6, 8, 10, 12))} AS fives, {_gray((1, 3, 5))} AS ones FROM events))""")
+def _gray_altitude(spark, sf):
+    code = F.col("event_id") % 8192
+    return table(spark, sf, "events").select("event_id", gray_altitude_ft(code).cast("long").alias("altitude_ft"))
+
+
 MOVE = """CASE WHEN m = 0 THEN NULL WHEN m = 1 THEN 0 WHEN m <= 8 THEN 0.125 * (m - 1) WHEN m <= 12 THEN 1 + 0.25 * (m - 9) WHEN m <= 38 THEN 2 + 0.5 * (m - 13)
   WHEN m <= 93 THEN m - 24 WHEN m <= 108 THEN 70 + 2 * (m - 94) WHEN m <= 123 THEN 100 + 5 * (m - 109) ELSE 175 END"""
 

@@ -17,6 +17,9 @@ from holdshort.schemas import AIRBORNE, ON_GROUND
 # Six-bit character set of the identification message.
 CHARSET = "#ABCDEFGHIJKLMNOPQRSTUVWXYZ#####_###############0123456789######"
 
+# Fixed value: polynomial of the 24 parity bits, without its highest term.
+PARITY = 0xFFF409
+
 # What a downlink format carries.
 KINDS = {
     4: ["ALTITUDE"], 5: ["IDENTITY"], 17: ["ADS_B"], 18: ["ADS_B"],
@@ -94,9 +97,36 @@ def with_frame_parts(rows: DataFrame, message: str = "message") -> DataFrame:
     return rows.withColumn("tc", _bits("me", 56, 1, 5).cast("int"))
 
 
+def _remainders() -> list[int]:
+    """Remainder of each byte value, moved up by 24 bits, by the parity polynomial."""
+    out = []
+    for byte in range(256):
+        value = byte << 16
+        for _ in range(8):
+            value = value << 1 ^ (PARITY if value >> 23 & 1 else 0)
+        out.append(value & 0xFFFFFF)
+    return out
+
+
+def parity_address(hex_text="hex") -> Column:
+    """Address that a reply hides in its last three bytes: their difference to the parity of the bytes before."""
+    text = _col(hex_text)
+    table = F.array(*[F.lit(x) for x in _remainders()])
+    spots = F.sequence(F.lit(1), F.length(text) - 7, F.lit(2))
+    low = lambda c: c.bitwiseAND(F.lit(0xFFFFFF))
+
+    def step(parity: Column, at: Column) -> Column:
+        byte = F.conv(F.substr(text, at, F.lit(2)), 16, 10).cast("int")
+        return low(F.shiftleft(parity, 8)).bitwiseXOR(F.get(table, F.shiftright(parity, 16).bitwiseXOR(byte)))
+
+    last = F.conv(F.substr(text, F.length(text) - 5), 16, 10).cast("int")
+    return F.lpad(F.hex(F.aggregate(spots, F.lit(0), step).bitwiseXOR(last)), 6, "0")
+
+
 def icao_address(hex_text="hex", df="downlink_format") -> Column:
-    """Address in the clear (formats 11, 17, 18)."""
-    return F.when(_col(df).isin(11, 17, 18), F.substring(_col(hex_text), 3, 6))
+    """Address in the clear (formats 11, 17, 18), or recovered from the parity of a reply (0, 4, 5, 16, 20, 21)."""
+    return (F.when(_col(df).isin(11, 17, 18), F.substring(_col(hex_text), 3, 6))
+            .when(_col(df).isin(0, 4, 5, 16, 20, 21), parity_address(hex_text)))
 
 
 def message_kinds(df="downlink_format") -> Column:
@@ -148,14 +178,34 @@ def callsign(me="me", tc="tc") -> Column:
     return F.when(_col(tc).between(1, 4), F.concat(*chars))
 
 
+def _from_gray(bits: list[Column]) -> Column:
+    """Number of a reflected binary code, highest bit first."""
+    seen, out = F.lit(0), F.lit(0)
+    for bit in bits:
+        seen = seen.bitwiseXOR(bit)
+        out = out * 2 + seen
+    return out
+
+
+def gray_altitude_ft(code: Column) -> Column:
+    """Feet of a 13-bit altitude code without the 25-foot bit: steps of 500 and, mirrored in every other one, of 100."""
+    # order of the 13 bits: C1 A1 C2 A2 C4 A4 M B1 Q B2 D2 B4 D4
+    bit = lambda i: _bits(code, 13, i, 1).cast("int")
+    fives = _from_gray([bit(i) for i in (11, 13, 2, 4, 6, 8, 10, 12)])
+    ones = _from_gray([bit(i) for i in (1, 3, 5)])
+    step = F.when(ones == 7, 5).when(~ones.isin(0, 5, 6), ones)
+    return fives * 500 + F.when(fives % 2 == 1, 6 - step).otherwise(step) * 100 - 1300
+
+
 def altitude_ft(head="head", df="downlink_format", me="me", tc="tc") -> Column:
-    """Altitude in feet: formats 4 and 20, and position messages. 100-foot Gray codes give null."""
+    """Altitude in feet: formats 4 and 20, and position messages, of which 100-foot codes give null."""
     df, tc = _col(df), _col(tc)
     code = _bits(head, 32, 20, 13)
     metric, fine = _bits(code, 13, 7, 1) == 1, _bits(code, 13, 9, 1) == 1
     steps = _bits(code, 13, 1, 6) * 32 + _bits(code, 13, 8, 1) * 16 + _bits(code, 13, 10, 4)
     metres = _bits(code, 13, 1, 6) * 64 + _bits(code, 13, 8, 6)
-    reply = F.when(code == 0, None).when(metric, F.floor(metres * 3.28084)).when(fine, steps * 25 - 1000)
+    reply = F.when(code == 0, None).when(metric, F.floor(metres * 3.28084)).when(
+        fine, steps * 25 - 1000).otherwise(gray_altitude_ft(code))
     short = _bits(me, 56, 9, 12)
     baro = F.when((short != 0) & (_bits(short, 12, 8, 1) == 1),
                   (_bits(short, 12, 1, 7) * 16 + _bits(short, 12, 9, 4)) * 25 - 1000)

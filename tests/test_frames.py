@@ -3,6 +3,7 @@
 import base64
 
 import pytest
+from pyspark.sql import functions as F
 
 from holdshort.functions import frames
 from holdshort.operators.decoding import decode_messages
@@ -43,7 +44,37 @@ def test_replies(spark):
     a, c, d = decode(spark, "A02014B400000000000000F9D514", "2A00516D492B80", "A800292DFFBBA9383FFCEB903D01")
     assert a.altitude_ft == 32300.0
     assert (c.squawk, d.squawk) == ("0356", "1346")
-    assert c.icao is None
+
+
+
+def plain_address(text):
+    number, size = int(text[:-6], 16) << 24, 4 * len(text)
+    for shift in range(size - 25, -1, -1):
+        if number >> (shift + 24) & 1:
+            number ^= 0x1FFF409 << shift
+    return f"{number ^ int(text[-6:], 16):06X}"
+
+
+def test_addresses_of_replies(spark):
+    texts = ["A02014B400000000000000F9D514", "2A00516D492B80", "A800292DFFBBA9383FFCEB903D01", "20000F1F684A6C"]
+    assert [r.icao for r in decode(spark, *texts)] == [plain_address(t) for t in texts]
+    # in a squitter with the same parity the address in the clear leaves no remainder
+    assert plain_address("8D406B902015A678D4D220AA4BDA") == "000000"
+
+
+def test_gray_altitudes(spark):
+    def code(feet):
+        fives, ones = divmod(feet + 1200, 500)
+        ones = ones // 100 + 1
+        ones = 6 - ones if fives % 2 else ones
+        ones = 7 if ones == 5 else ones
+        gray = {i: (n ^ n >> 1) >> shift & 1 for n, spots in ((fives, (11, 13, 2, 4, 6, 8, 10, 12)), (ones, (1, 3, 5)))
+                for shift, i in enumerate(reversed(spots))}
+        return sum(bit << (13 - i) for i, bit in gray.items())
+
+    feet = list(range(-1200, 60_000, 100))
+    rows = spark.createDataFrame([(f, code(f)) for f in feet], "feet int, code int")
+    assert all(r.feet == r.got for r in rows.withColumn("got", frames.gray_altitude_ft(F.col("code"))).collect())
 
 
 def test_longitude_zones(spark):
