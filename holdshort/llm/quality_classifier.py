@@ -12,16 +12,13 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 from itertools import islice
 from operator import eq
-from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Words that a worker remembers; when the bound is reached, the memory starts anew. It does not change results.
-WORDS_KEPT = 400_000
-WORD_LENGTH_KEPT = 64
+from holdshort.llm.subwords import Subwords, WordSums
 
 
 @dataclass
@@ -36,30 +33,25 @@ class Settings:
     max_rows: int = 2500
     seed: int = 7
 
+    @property
+    def subwords(self) -> Subwords:
+        return Subwords(self.buckets, self.ngrams, fold_case=False)
+
 
-def word_features(word: str, settings: Settings) -> list[int]:
-    """Buckets of a word and of its character n-grams."""
-    marked, size = f"<{word}>".encode("utf-8", "surrogatepass"), settings.buckets
-    out = [crc32(marked) % size]
-    for n in settings.ngrams:
-        out += [crc32(marked[i:i + n], n) % size for i in range(len(marked) - n + 1)]
-    return out
+#: The bucket that counts words which equal the word before them.
+REPEAT = 0
 
 
-def repeat_feature(settings: Settings) -> int:
-    """The bucket of a word that equals the word before it."""
-    return crc32(b"\x00repeat") % settings.buckets
+def repeats(words: list[str]) -> int:
+    """Words that equal the word before them."""
+    return sum(map(eq, words, islice(words, 1, None)))
 
 
 def text_features(text: str, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
     """Distinct buckets of a whole text and how often each occurs."""
-    words, counts = text.split(), np.zeros(settings.buckets, dtype=np.int64)
-    known: dict[str, int] = {}
-    for word in words:
-        known[word] = known.get(word, 0) + 1
-    for word, n in known.items():
-        np.add.at(counts, word_features(word, settings), n)
-    counts[repeat_feature(settings)] += sum(map(eq, words, islice(words, 1, None)))
+    words = text.split()
+    counts = settings.subwords.counts(words)
+    counts[REPEAT] += repeats(words)
     found = np.flatnonzero(counts)
     return found.astype(np.int32), counts[found]
 
@@ -71,46 +63,23 @@ class Model:
     settings: Settings
     logits: np.ndarray
     bias: float
-    _words: _WordSums | None = field(default=None, repr=False)
-
-    @property
-    def words(self) -> _WordSums:
-        if self._words is None:
-            self._words = _WordSums(self)
-        return self._words
+    _words: WordSums | None = field(default=None, repr=False)
 
     def __getstate__(self) -> dict:
         return self.__dict__ | {"_words": None}
 
     def score(self, text: str | None) -> float:
         """Probability of label 1; a null text is an empty one."""
-        words = (text or "").split()
-        logit, sums = self.bias, self.words
+        words, logit = (text or "").split(), self.bias
         if words:
-            if len(sums) > WORDS_KEPT:
-                sums.clear()
-            total = sum(map(sums.__getitem__, words))
-            repeats = sum(map(eq, words, islice(words, 1, None)))
-            logit += (total.real + repeats * sums.repeat) / (total.imag + repeats)
+            if self._words is None:
+                self._words = WordSums(self.settings.subwords, self.logits[:, None])
+            total, features = self._words.total(words)
+            again = repeats(words)
+            logit += (total + again * self.logits[REPEAT]) / (features + again)
         return float(1 / (1 + np.exp(-np.clip(logit, -50, 50))))
 
 
-class _WordSums(dict):
-    """Word -> sum of its logits and number of its features, as one complex number so that `sum` adds both."""
-
-    def __init__(self, model: Model):
-        super().__init__()
-        self.settings, self.logits = model.settings, model.logits.tolist()
-        self.repeat = self.logits[repeat_feature(model.settings)]
-
-    def __missing__(self, word: str) -> complex:
-        found = word_features(word, self.settings)
-        value = complex(sum(map(self.logits.__getitem__, found)), len(found))
-        if len(word) <= WORD_LENGTH_KEPT:
-            self[word] = value
-        return value
-
-
 def train(rows: list[tuple[np.ndarray, np.ndarray, int]], settings: Settings) -> Model:
     """Fit to (buckets, counts, label 0 or 1). Without both labels every text gets the share of label 1, or one half."""
     labels = [label for _, _, label in rows]
