@@ -201,6 +201,13 @@ def _quantile_cutoff(spark, sf):
     return orders.agg(F.lit(cutoff).alias("cutoff"), F.round(share, 2).alias("share"))
 
 
+@query("quantile_cutoff_exact", "SELECT quantile_disc(o_totalprice, 0.75)::DOUBLE AS cutoff, quantile_disc(o_totalprice, 0.5)::DOUBLE AS middle FROM orders")
+def _quantile_cutoff_exact(spark, sf):
+    orders = table(spark, sf, "orders")
+    cutoff, middle = (statistics.quantile_cutoff(orders, "o_totalprice", p, 0.0) for p in (0.75, 0.5))
+    return orders.agg(F.lit(cutoff).cast("double").alias("cutoff"), F.lit(middle).cast("double").alias("middle"))
+
+
 @query("max_timestamp", f"WITH {WAITS} SELECT epoch_us(max(timestamp)) AS max_ts FROM wr")
 def _max_timestamp(spark, sf):
     return projections.max_timestamp(wait_rows(spark, sf), "timestamp").withColumn("max_ts", F.unix_micros("max_ts"))

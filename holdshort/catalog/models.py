@@ -42,6 +42,17 @@ def _linear(spark, sf):
     return _fit_and_report(spark, sf, regression.linear_regression("takeoff_time", regParam=0.1, elasticNetParam=0.5, maxIter=50))
 
 
+@query("linear_fit_plain", """SELECT round(regr_slope(CAST(l_quantity AS DOUBLE) * 5, CAST(l_partkey % 120 AS DOUBLE)), 5) AS slope,
+  round(regr_intercept(CAST(l_quantity AS DOUBLE) * 5, CAST(l_partkey % 120 AS DOUBLE)), 4) AS intercept, count(*) AS n FROM lineitem""")
+def _linear_fit_plain(spark, sf):
+    """One feature without a penalty, which has a closed form."""
+    rows = wait_rows(spark, sf).select(F.col("takeoff_time").cast("double").alias("takeoff_time"), array_to_vector(
+        F.array(F.col("time_since_last_event_seconds").cast("double"))).alias("features"))
+    model = regression.linear_regression("takeoff_time", regParam=0.0, standardization=False).fit(rows)
+    return rows.agg(F.lit(round(float(model.coefficients[0]), 5)).alias("slope"), F.lit(round(float(model.intercept), 4)).alias("intercept"),
+                    F.count(F.lit(1)).alias("n"))
+
+
 @query("random_forest")
 def _forest(spark, sf):
     return _fit_and_report(spark, sf, regression.random_forest("takeoff_time", numTrees=10, maxDepth=5))
