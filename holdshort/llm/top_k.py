@@ -37,7 +37,8 @@ def quantised(vector: Column, scale: float = 256.0) -> Column:
 
 
 def _pack(rows: DataFrame, per_row: int) -> DataFrame:
-    """(id, vector) -> rows of up to `per_row` vectors of one length; input partitions are packed on their own."""
+    """(id, vector) -> rows of up to `per_row` vectors of one length, similar ones next to each other; input partitions are
+    packed on their own."""
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -49,6 +50,8 @@ def _pack(rows: DataFrame, per_row: int) -> DataFrame:
             found = held.pop(width)
             ids = np.array([i for i, _ in found], dtype=np.int64)
             vectors = np.array([v for _, v in found], dtype=np.int64).reshape(len(found), width)
+            order = similar_order(vectors.astype(np.float64))
+            ids, vectors = ids[order], vectors[order]
             number += 1
             return pa.RecordBatch.from_pydict({
                 "number": pa.array([number]), "size": pa.array([len(ids)], pa.int32()), "width": pa.array([width], pa.int32()),
@@ -76,11 +79,10 @@ def similar_order(vectors: np.ndarray) -> np.ndarray:
 
 
 class Shard:
-    """Vectors of one shard in blocks, with the ends of each component in each block."""
+    """Vectors of one shard, cut into blocks in their order, with the ends of each component in each block."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
-        order = similar_order(vectors.astype(np.float64))
-        self.ids, vectors = ids[order], vectors[order]
+        self.ids = ids
         # doubles hold sums of products exactly up to 2^53, whole numbers beyond that go without them
         most = float(np.abs(vectors.astype(np.float64)).max(initial=0))
         self.exact_as_double = most < 1 << 23 and vectors.shape[1] <= 64 or most < 1 << 16 and vectors.shape[1] <= 1 << 20
