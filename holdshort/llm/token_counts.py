@@ -12,9 +12,11 @@ import json
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from holdshort.llm.rows import few
 from holdshort.llm.units import space_units
 from holdshort.operators.spread import spread_join
 
@@ -113,18 +115,13 @@ def _counted(texts: DataFrame, tokenizer: Tokenizer, batch: int = 32) -> DataFra
     return texts.mapInArrow(count, STORE_SCHEMA)
 
 
-def read_store(spark: SparkSession, store: str | None) -> DataFrame:
-    """The stored counts; an empty table if there is no store yet."""
-    from pyspark.errors import AnalysisException
-
-    empty = spark.createDataFrame([], STORE_SCHEMA)
-    if store is None:
-        return empty
+def read_store(spark: SparkSession, store: str) -> DataFrame | None:
+    """The stored counts; None if there is no store yet."""
     try:
         return spark.read.schema(STORE_SCHEMA).parquet(store)
     except AnalysisException as error:
         if "PATH_NOT_FOUND" in str(error):
-            return empty
+            return None
         raise
 
 
@@ -140,13 +137,19 @@ def token_counts(docs: DataFrame, tokenizer: Tokenizer, store: str, key: str = "
     named = docs.select(F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
     digest = F.unhex(F.sha2(F.encode("_text", "UTF-8"), 256))
 
-    def stored() -> DataFrame:
-        rows = read_store(spark, store).where(F.col("tokenizer_digest") == tokenizer.digest)
+    def counts(rows: DataFrame) -> DataFrame:
+        rows = rows.where(F.col("tokenizer_digest") == tokenizer.digest)
         return rows.groupBy("text_digest").agg(F.max("n_bytes").alias("n_bytes"), F.max("n_tokens").alias("n_tokens"))
 
-    # copies meet by digest alone: texts are shuffled once, and only those without a count
-    missing = spread_join(named.select(digest.alias("text_digest"), "_text"), stored(), ["text_digest"], "left_anti")
+    digests = named.select(F.col("_key"), digest.alias("text_digest"))
+    missing = named.select(digest.alias("text_digest"), "_text")
+    known = read_store(spark, store)
+    if known is not None:
+        # digests alone tell what is missing, so texts with a count stay where they are
+        new = few(digests.select("text_digest").distinct().join(counts(known), "text_digest", "left_anti"))
+        missing = spread_join(missing, new, ["text_digest"], "left_semi")
+    # copies meet by digest within tasks first; then each text without a count is shuffled once
     distinct = missing.groupBy("text_digest").agg(F.first("_text").alias("_text"))
     _counted(distinct, tokenizer).write.mode("append").parquet(store)
-    digests = named.select(F.col("_key"), digest.alias("text_digest"))
-    return spread_join(digests, stored(), ["text_digest"], "left").select(F.col("_key").alias(key), "n_bytes", "n_tokens")
+    return spread_join(digests, counts(read_store(spark, store)), ["text_digest"], "left").select(
+        F.col("_key").alias(key), "n_bytes", "n_tokens")
