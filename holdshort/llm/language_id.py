@@ -9,25 +9,20 @@ how often rows of each language declare it. All factors are multiplied.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from functools import reduce
-from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from holdshort.llm.batches import slices
+from holdshort.llm.subwords import Subwords, WordSums
 from holdshort.operators.spread import spread_join
 from holdshort.session import freeze
 
 UNKNOWN = "und"
-#: Words that a worker remembers; when the bound is reached, the memory starts anew. It does not change results.
-WORDS_KEPT = 400_000
-WORD_LENGTH_KEPT = 64
-
 HTML_DECLARED = r"(?i)<html\b[^>]*?\slang\s*=\s*[\"']?([a-z]{2,3})\b"
 HTML_MARKUP = r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&[a-z0-9#]{1,10};"
 URL_HOST = r"(?i)^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)"
@@ -47,15 +42,9 @@ class Settings:
     suffix_weight: float = 20.0
     least_probability: float = 0.5
 
-
-def word_features(word: str, settings: Settings) -> list[int]:
-    """Buckets of a word and of its byte n-grams; the marks at its ends count in longer ones only, every word has them."""
-    marked = f"<{word.lower()}>".encode("utf-8", "surrogatepass")
-    out = [crc32(marked) % settings.buckets]
-    for n in settings.ngrams:
-        part = marked if n > 1 else marked[1:-1]
-        out += [crc32(part[i:i + n], n) % settings.buckets for i in range(len(part) - n + 1)]
-    return out
+    @property
+    def subwords(self) -> Subwords:
+        return Subwords(self.buckets, self.ngrams, fold_case=True)
 
 
 @dataclass
@@ -65,30 +54,21 @@ class Model:
     settings: Settings
     languages: list[str]
     likelihoods: np.ndarray
-    _known: dict = field(default_factory=dict, repr=False)
+    _words: WordSums | None = field(default=None, repr=False)
 
     def __getstate__(self) -> dict:
-        return self.__dict__ | {"_known": {}}
-
-    def _word(self, word: str) -> np.ndarray:
-        found = self._known.get(word)
-        if found is None:
-            features = word_features(word, self.settings)
-            found = np.append(self.likelihoods[features].sum(0), len(features))
-            if len(word) <= WORD_LENGTH_KEPT:
-                if len(self._known) >= WORDS_KEPT:
-                    self._known.clear()
-                self._known[word] = found
-        return found
+        return self.__dict__ | {"_words": None}
 
     def evidence(self, text: str | None) -> tuple[list[float], int]:
         """Log-likelihood of the whole text per language and for none, damped for long texts; its number of words."""
-        counts = Counter((text or "").split())
-        if not counts:
+        words = (text or "").split()
+        if not words:
             return [0.0] * self.likelihoods.shape[1], 0
-        total = reduce(np.add, (self._word(w) * n for w, n in counts.items()))
+        if self._words is None:
+            self._words = WordSums(self.settings.subwords, self.likelihoods)
+        total = self._words.total(words)
         damped = total[:-1] * min(1.0, self.settings.evidence / total[-1])
-        return damped.tolist(), sum(counts.values())
+        return damped.tolist(), len(words)
 
 
 def fit(docs: DataFrame, settings: Settings | None = None, key: str = "doc_id", text: str = "text",
@@ -112,11 +92,10 @@ def fit(docs: DataFrame, settings: Settings | None = None, key: str = "doc_id",
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, np.ndarray] = {}
-        for batch in batches:
+        for batch in slices(batches):
             for name, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 sums = held.setdefault(name, np.zeros(settings.buckets, dtype=np.int64))
-                for word, n in Counter((value or "").split()).items():
-                    np.add.at(sums, word_features(word, settings), n)
+                sums += settings.subwords.counts((value or "").split())
         for name, sums in held.items():
             at = np.flatnonzero(sums)
             yield pa.RecordBatch.from_pydict({
@@ -142,7 +121,7 @@ def text_evidence(rows: DataFrame, model: Model, text: str = "text") -> DataFram
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = sent.value
-        for batch in batches:
+        for batch in slices(batches):
             found = [fitted.evidence(x) for x in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(i) for i in range(batch.num_columns) if i != at],
