@@ -19,11 +19,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from holdshort.llm.batches import slices
 from holdshort.llm.units import space_units
 
 #: Bounds of what a worker remembers; when one is reached, the memory starts anew. They do not change results.
-UNITS_KEPT = 500_000
-PAIRS_KEPT = 1_000_000
+UNITS_KEPT = 300_000
+PAIRS_KEPT = 400_000
 UNIT_LENGTH_KEPT = 64
 
 NEVER = 1 << 60
@@ -198,33 +199,43 @@ def _lists(values: array, offsets: list[int]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.array(offsets, dtype=np.int32)), pa.array(np.frombuffer(values, dtype=np.int32)))
 
 
-def _added(df: DataFrame, column: str, kind: str, fill) -> DataFrame:
-    if column in df.columns:
-        raise ValueError(f"the input already has a column {column}")
-    return df.mapInArrow(fill, df.select("*", F.lit(None).cast(kind).alias(column)).schema)
+def _added(df: DataFrame, columns: dict[str, str], fill) -> DataFrame:
+    clash = columns.keys() & set(df.columns)
+    if clash:
+        raise ValueError(f"the input already has {sorted(clash)}")
+    return df.mapInArrow(fill, df.select("*", *[F.lit(None).cast(kind).alias(c) for c, kind in columns.items()]).schema)
 
 
-def encode(df: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str = "ids", batch: int = 64) -> DataFrame:
+def _decoded(ids: list[int] | None, tokens: list[bytes]) -> bytes:
+    return b"".join(map(tokens.__getitem__, ids)) if ids else b""
+
+
+def encode(df: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str = "ids", data: str | None = None,
+           batch: int = 64) -> DataFrame:
     """Add a column of token ids of the whole text; a null or empty text has no tokens.
 
     Rows, other columns and their order stay; a column `ids` must not exist yet. A text of any length is encoded as a
-    whole. Rows of a batch are encoded in slices of `batch` to bound the memory of long texts.
+    whole. Rows of a batch are encoded in slices of `batch` to bound the memory of long texts. With `data` the ids are
+    decoded again in the same pass, into a column of that name.
     """
     sent = df.sparkSession.sparkContext.broadcast(vocabulary)
     at = df.columns.index(text)
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = sent.value.encoder
-        for whole in batches:
-            for start in range(0, whole.num_rows, batch):
-                rows = whole.slice(start, batch)
-                values, offsets = array("i"), [0]
-                for value in rows.column(at).to_pylist():
-                    values.extend(encoder.text(value) if value else ())
-                    offsets.append(len(values))
-                yield pa.RecordBatch.from_arrays([*rows.columns, _lists(values, offsets)], [*rows.schema.names, ids])
-
-    return _added(df, ids, "array<int>", fill)
+        encoder, tokens = sent.value.encoder, sent.value.tokens
+        for rows in slices(batches, batch):
+            values, offsets, bytes_ = array("i"), [0], []
+            for value in rows.column(at).to_pylist():
+                found = encoder.text(value) if value else []
+                values.extend(found)
+                offsets.append(len(values))
+                if data:
+                    bytes_.append(_decoded(found, tokens))
+            more = [pa.array(bytes_, pa.binary())] if data else []
+            yield pa.RecordBatch.from_arrays([*rows.columns, _lists(values, offsets), *more], [*rows.schema.names, *new])
+
+    new = {ids: "array<int>"} | ({data: "binary"} if data else {})
+    return _added(df, new, fill)
 
 
 def decode(df: DataFrame, vocabulary: Vocabulary, ids: str = "ids", data: str = "data", batch: int = 64) -> DataFrame:
@@ -233,11 +244,9 @@ def decode(df: DataFrame, vocabulary: Vocabulary, ids: str = "ids", data: str =
     at = df.columns.index(ids)
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = sent.value.tokens.__getitem__
-        for whole in batches:
-            for start in range(0, whole.num_rows, batch):
-                rows = whole.slice(start, batch)
-                found = [b"".join(map(token, x)) if x else b"" for x in rows.column(at).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(found, pa.binary())], [*rows.schema.names, data])
-
-    return _added(df, data, "binary", fill)
+        tokens = sent.value.tokens
+        for rows in slices(batches, batch):
+            found = [_decoded(x, tokens) for x in rows.column(at).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(found, pa.binary())], [*rows.schema.names, data])
+
+    return _added(df, {data: "binary"}, fill)

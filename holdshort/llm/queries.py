@@ -110,7 +110,7 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = byte_bpe.Vocabulary.read(
         spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = byte_bpe.decode(byte_bpe.encode(docs, vocabulary).drop("text"), vocabulary)
+    coded = byte_bpe.encode(docs, vocabulary, data="data")
     return coded.select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
