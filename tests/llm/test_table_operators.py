@@ -271,3 +271,47 @@ def test_near_copies_against_similarity(spark):
     assert own <= linked and len(own) >= 0.95 * len(linked)
     assert gone - own == {901, 903}
     assert near_copies.surplus(spark.createDataFrame([], "row bigint, text string")).collect() == []
+
+
+def plain_near_copies(texts):
+    """Places of texts that repeat an earlier one: equal, or alike in their shingles, directly or through others."""
+    sets = []
+    for t in texts:
+        w = (t or "").lower().split()
+        sets.append({tuple(w[i:i + 5]) for i in range(len(w) - 4)} or ({tuple(w)} if w else set()))
+    parent = list(range(len(texts)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in combinations(range(len(texts)), 2):
+        common = len(sets[a] & sets[b])
+        if (texts[a] or "") == (texts[b] or "") or common and common >= 0.8 * (len(sets[a]) + len(sets[b]) - common):
+            x, y = sorted((find(a), find(b)))
+            parent[y] = x
+    return {i for i in range(len(texts)) if find(i) != i}
+
+
+def found_near_copies(spark, texts):
+    return {r.row for r in near_copies.surplus(spark.createDataFrame(list(enumerate(texts)), "row bigint, text string")).collect()}
+
+
+def dropped(words, at):
+    return " ".join(words[:at] + words[at + 1:])
+
+
+def test_near_copies_with_equal_word_sets(spark):
+    """Copies of a text that are alike to it but not to each other, with the same set of words."""
+    pick = random.Random(20)
+    texts = []
+    for g in range(5):
+        words = [f"g{g}w{i}" for i in range(60)]
+        places = [6, 18, 30, 42, 54]
+        for at in places:
+            words[at] = "the"
+        copies = [dropped(words, at) for at in places]
+        texts += [copies[0], " ".join(words), *copies[1:]]
+    texts += [" ".join(pick.choices("abcdefgh", k=40)) for _ in range(20)]
+    assert found_near_copies(spark, texts) == plain_near_copies(texts) >= {i for i in range(30) if i % 6}
