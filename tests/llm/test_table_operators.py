@@ -315,3 +315,48 @@ def test_near_copies_with_equal_word_sets(spark):
         texts += [copies[0], " ".join(words), *copies[1:]]
     texts += [" ".join(pick.choices("abcdefgh", k=40)) for _ in range(20)]
     assert found_near_copies(spark, texts) == plain_near_copies(texts) >= {i for i in range(30) if i % 6}
+
+
+def test_near_copies_in_large_groups(spark, monkeypatch):
+    """Hundreds of copies of one text that are alike to it and mostly not to each other, a chain, and a common passage."""
+    monkeypatch.setattr(near_copies, "BLOCK_SHINGLES", 6000, raising=False)
+    pick = random.Random(21)
+    words = [f"w{i}" for i in range(60)]
+
+    def edited(source, places, name):
+        return " ".join(f"{name}x{i}" if i in places else w for i, w in enumerate(source))
+
+    texts = [edited(words, {pick.choice(range(5, 55))}, f"c{i}") for i in range(300)]
+    texts.insert(200, " ".join(words))
+    chain = [f"k{i}" for i in range(100)]
+    for i in range(80):
+        texts.append(" ".join(chain))
+        chain[i % 99] = f"n{i}"
+    passage = [f"p{i}" for i in range(12)]
+    texts += [" ".join(passage + [f"u{i}v{j}" for j in range(40)]) for i in range(120)]
+    pick.shuffle(texts)
+    assert found_near_copies(spark, texts) == plain_near_copies(texts)
+
+
+def test_forest_and_groups_lose_no_link():
+    pick = random.Random(22)
+    sets = [np.array(sorted(pick.sample(range(60), pick.randint(0, 40)))) for _ in range(60)]
+    for _ in range(300):
+        base = pick.choice(sets).tolist()
+        sets.append(np.array(sorted({*base, *pick.sample(range(1000), 2)} - {*pick.sample(base, len(base) // 10)}), dtype=np.int64))
+    parent = list(range(len(sets)))
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    def groups(pairs):
+        parent[:] = range(len(sets))
+        for a, b in pairs:
+            parent[find(b)] = find(a)
+        return {frozenset(i for i in range(len(sets)) if find(i) == r) for r in map(find, range(len(sets)))}
+
+    alike = [(a, b) for a, b in combinations(range(len(sets)), 2) if (n := len({*sets[a].tolist()} & {*sets[b].tolist()})) and
+             n >= 0.8 * (len(sets[a]) + len(sets[b]) - n)]
+    assert groups(near_copies.forest(sets, 0.8)) == groups(alike)
