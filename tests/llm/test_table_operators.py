@@ -360,3 +360,16 @@ def test_forest_and_groups_lose_no_link():
     alike = [(a, b) for a, b in combinations(range(len(sets)), 2) if (n := len({*sets[a].tolist()} & {*sets[b].tolist()})) and
              n >= 0.8 * (len(sets[a]) + len(sets[b]) - n)]
     assert groups(near_copies.forest(sets, 0.8)) == groups(alike)
+
+
+def test_no_pair_at_the_threshold_is_lost(spark):
+    """Pairs without other members, planted from 0.75 to 1."""
+    pick = random.Random(23)
+    texts = []
+    for g in range(150):
+        words = [f"g{g}w{i}" for i in range(pick.randint(20, 120))]
+        places = pick.sample(range(len(words)), max(1, round(len(words) * pick.uniform(0.005, 0.03))))
+        texts += [" ".join(words), " ".join("new" if i in places else w for i, w in enumerate(words))]
+    expected = plain_near_copies(texts)
+    assert 60 <= len(expected) <= 140
+    assert found_near_copies(spark, texts) == expected
