@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from holdshort.llm import (
-    byte_bpe, golay_simhash, hilbert_shards, language_id, license_scan, mixing, quality_classifier, quality_rules, token_counts,
-    top_k,
+    byte_bpe, golay_simhash, hilbert_shards, language_id, license_scan, mixing, pattern_packing, quality_classifier, quality_rules,
+    source_divergence, spelling_variants, token_counts, top_k,
 )
 from holdshort.llm.registry import load, query
 from holdshort.session import freeze, scratch_path
@@ -156,3 +156,54 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = golay_simhash.grouped(load(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@query("op11_pattern_packing")
+def op11_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokenizer = token_counts.Tokenizer(public_tokenizers.path("byte_bpe_50k.json"))
+    packed = pattern_packing.pack(load(spark, sf_dir, "documents"), tokenizer, capacity=1024, end=2)
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+OP12_SQL = r"""
+WITH texts AS (
+    SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+words AS (SELECT row, lang, source, unnest(terms) AS term FROM texts),
+kept AS (SELECT lang, term, count(*)::HUGEINT AS n FROM words GROUP BY lang, term HAVING count(DISTINCT row) >= 30),
+groups AS (SELECT DISTINCT lang, source FROM texts),
+langs AS (SELECT lang, sum(n)::HUGEINT AS total, count(*)::HUGEINT AS v FROM kept GROUP BY lang),
+counts AS (SELECT lang, source, term, count(*)::HUGEINT AS n FROM words GROUP BY ALL),
+cells AS (
+    SELECT g.lang, g.source, k.term, coalesce(c.n, 0)::HUGEINT AS n, k.n AS lang_n
+    FROM groups g JOIN kept k ON g.lang = k.lang LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+priced AS (
+    SELECT c.lang, source, term, n,
+           1 + (1000000000::HUGEINT * (n + 5)) // (sum(n) OVER (PARTITION BY c.lang, source)::HUGEINT + 5 * v) AS p,
+           1 + (1000000000::HUGEINT * (lang_n + 5)) // (total + 5 * v) AS q
+    FROM cells c JOIN langs l ON c.lang = l.lang),
+sums AS (
+    SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p))::BIGINT AS value
+    FROM priced a JOIN priced b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0)::BIGINT AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+terms AS (
+    SELECT lang, source, 'term' AS part, term AS item, (p - q)::BIGINT AS value FROM priced WHERE n > 0 AND p > q),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank
+    FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 50
+"""
+
+
+@query("op12_source_divergence", OP12_SQL)
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.audit(load(spark, sf_dir, "documents"))
+
+
+@query("op13_spelling_variants")
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.group(spelling_variants.vocabulary(load(spark, sf_dir, "documents")))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 
 def space_units(text: str) -> list[str]:
     """Cut before every space that stands between two characters that are not white space.
@@ -19,3 +21,15 @@ def space_units(text: str) -> list[str]:
             units.append(" " + part)
         open_end = not part or part[-1].isspace()
     return units
+
+
+def separated(data: bytes, size: int = 1 << 20) -> Iterator[bytes]:
+    """Bytes in parts of about `size` that end at spaces, so that the words of a very long text are not held at once."""
+    start = 0
+    while len(data) - start > size:
+        stop = data.find(b" ", start + size)
+        if stop < 0:
+            break
+        yield data[start:stop]
+        start = stop + 1
+    yield data[start:]
