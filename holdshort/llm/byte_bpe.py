@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from holdshort.llm.batches import slices
+from holdshort.llm.shipping import ship, shipped
 from holdshort.llm.units import space_units
 
 #: Bounds of what a worker remembers; when one is reached, the memory starts anew. They do not change results.
@@ -218,11 +219,11 @@ def encode(df: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str =
     whole. Rows of a batch are encoded in slices of `batch` to bound the memory of long texts. With `data` the ids are
     decoded again in the same pass, into a column of that name.
     """
-    sent = df.sparkSession.sparkContext.broadcast(vocabulary)
+    sent = ship(df.sparkSession, vocabulary)
     at = df.columns.index(text)
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, tokens = sent.value.encoder, sent.value.tokens
+        encoder, tokens = shipped(sent).encoder, shipped(sent).tokens
         for rows in slices(batches, batch):
             values, offsets, bytes_ = array("i"), [0], []
             for value in rows.column(at).to_pylist():
@@ -240,11 +241,11 @@ def encode(df: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str =
 
 def decode(df: DataFrame, vocabulary: Vocabulary, ids: str = "ids", data: str = "data", batch: int = 64) -> DataFrame:
     """Add the bytes that the ids stand for; null or no ids give no bytes. An id outside the vocabulary is an error."""
-    sent = df.sparkSession.sparkContext.broadcast(vocabulary)
+    sent = ship(df.sparkSession, vocabulary)
     at = df.columns.index(ids)
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = sent.value.tokens
+        tokens = shipped(sent).tokens
         for rows in slices(batches, batch):
             found = [_decoded(x, tokens) for x in rows.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(found, pa.binary())], [*rows.schema.names, data])

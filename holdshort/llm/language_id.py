@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from holdshort.llm.batches import slices
+from holdshort.llm.shipping import ship, shipped
 from holdshort.llm.subwords import Subwords, WordSums
 from holdshort.operators.spread import spread_join
 from holdshort.session import freeze
@@ -116,11 +117,11 @@ def fit(docs: DataFrame, settings: Settings | None = None, key: str = "doc_id",
 
 def text_evidence(rows: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """Replace the text by `evidence` (log-likelihoods, languages then "und") and `n_words`; other columns stay."""
-    sent, at = rows.sparkSession.sparkContext.broadcast(model), rows.columns.index(text)
+    sent, at = ship(rows.sparkSession, model), rows.columns.index(text)
     kept = [c for c in rows.columns if c != text]
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fitted = sent.value
+        fitted = shipped(sent)
         for batch in slices(batches):
             found = [fitted.evidence(x) for x in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays(

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from holdshort.llm.batches import slices
+from holdshort.llm.shipping import ship, shipped
 from holdshort.llm.subwords import Subwords, WordSums
 
 
@@ -147,10 +148,10 @@ def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score"
     """
     if name in docs.columns:
         raise ValueError(f"the input already has a column {name}")
-    sent, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text)
+    sent, at = ship(docs.sparkSession, model), docs.columns.index(text)
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fitted = sent.value
+        fitted = shipped(sent)
         for batch in slices(batches):
             scores = pa.array([fitted.score(x) for x in batch.column(at).to_pylist()], pa.float64())
             yield pa.RecordBatch.from_arrays([*batch.columns, scores], [*batch.schema.names, name])

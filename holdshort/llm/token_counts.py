@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from holdshort.llm.rows import few
+from holdshort.llm.shipping import ship, shipped
 from holdshort.llm.units import space_units
 from holdshort.operators.spread import spread_join
 
@@ -95,14 +96,14 @@ class Counter:
 
 def _counted(texts: DataFrame, tokenizer: Tokenizer, batch: int = 32) -> DataFrame:
     """(text_digest, text) -> a row of the store for each."""
-    sent = texts.sparkSession.sparkContext.broadcast(tokenizer)
+    sent = ship(texts.sparkSession, tokenizer)
     names = [x.split()[0] for x in STORE_SCHEMA.split(", ")]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        counter, digest = sent.value.counter, sent.value.digest
+        counter, digest = shipped(sent).counter, shipped(sent).digest
         for whole in batches:
             for start in range(0, whole.num_rows, batch):
                 rows = whole.slice(start, batch)
