@@ -2,62 +2,79 @@
 
 Languages that cannot be told and texts of low quality go, one of each group of near copies stays, sources are mixed to
 their weights, and what is left is encoded. Stages that judge rows one by one number them first, so equal rows and rows
-without an id are told apart; every stage takes null and empty texts, empty tables and further columns.
+without an id are told apart; every stage takes null and empty texts, empty tables and further columns, whatever their
+names. All stages but the last hand on the columns of the documents; the last keeps doc_id and source alone.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdshort.llm import byte_bpe, language_id, mixing, near_copies, quality_classifier
+from holdshort.llm import byte_bpe, golay_simhash, language_id, mixing, quality_classifier
 from holdshort.llm.rows import few, numbered
 from holdshort.session import freeze, scratch_path
 
-ROW = "_pipeline_row"
+
+def _columns(docs: DataFrame) -> list[Column]:
+    """The columns of a table, dots and all."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
+
+
+def _free(docs: DataFrame) -> str:
+    """A start of column names that the table does not use."""
+    start = "_stage"
+    while any(c.lower().startswith(start) for c in docs.columns):
+        start += "_"
+    return start
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is told reliably from text, declared language and source."""
-    rows = numbered(docs, ROW)
+    row = f"{_free(docs)}_row"
+    rows = numbered(docs, row)
     found = language_id.identify(rows.select(
-        F.col(ROW).alias("key"), "text", F.col("lang").alias("declared"), F.col("source").alias("host")), language_id.fit(docs))
-    return rows.join(few(found.where(~F.col("reliable")).select(F.col("key").alias(ROW))), ROW, "left_anti").select(docs.columns)
+        F.col(row).alias("key"), "text", F.col("lang").alias("declared"), F.col("source").alias("host")), language_id.fit(docs))
+    return rows.join(few(found.where(~F.col("reliable")).select(F.col("key").alias(row))), row, "left_anti").select(_columns(docs))
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, learned from all labels, holds for good ones."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = quality_classifier.fit(docs, labels, F.lit(True))
-    scored = quality_classifier.score(docs, model, name="_pipeline_score")
-    return scored.where(F.col("_pipeline_score") >= 0.5).select(docs.columns)
+    score = f"{_free(docs)}_score"
+    return quality_classifier.score(docs, model, name=score).where(F.col(score) >= 0.5).select(_columns(docs))
 
 
 def near_copy_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of copies and near copies: five-word shingles, similarity 0.8 or more."""
-    rows = numbered(docs, ROW)
-    surplus = near_copies.surplus(rows.select(F.col(ROW).alias("row"), "text"))
-    return rows.join(few(surplus.select(F.col("row").alias(ROW))), ROW, "left_anti").select(docs.columns)
+    """The first document of each group that SimHash links: three-word shingles, at most three differing bits."""
+    row = f"{_free(docs)}_row"
+    rows = numbered(docs, row)
+    found = golay_simhash.grouped(rows.select(row, "text"), key=row)
+    surplus = found.where(F.col(row) != F.col("component_id")).select(row)
+    return rows.join(few(surplus), row, "left_anti").select(_columns(docs))
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them; the one that a source's budget cuts keeps its first words."""
-    rows = numbered(docs, ROW)
+    start = _free(docs)
+    row, keep = f"{start}_row", f"{start}_words"
+    rows = numbered(docs, row)
     size = mixing.n_words(F.col("text"))
     mixed = mixing.mix(rows.select(
         F.col("doc_id").alias("key"), "source", size.alias("size"),
-        mixing.quality_weight(F.col("text"), size).alias("weight"), F.col(ROW)), carry=[ROW])
-    drawn = freeze(mixed.select(ROW, F.col("size").alias("_size"), F.col("taken").alias("_taken")).where("_taken > 0"))
+        mixing.quality_weight(F.col("text"), size).alias("weight"), F.col(row)), carry=[row])
+    drawn = freeze(mixed.select(row, F.col("size").alias("_size"), F.col("taken").alias("_taken")).where("_taken > 0"))
     whole = F.when(F.col("_taken") >= F.col("_size"), F.floor(F.col("_taken") / F.col("_size"))).otherwise(0).cast("int")
     rest = (F.col("_taken") - whole * F.col("_size")).cast("int")
     # copies of a row, each with its number of words; null stands for the whole text
     words = F.concat(F.array_repeat(F.lit(None).cast("int"), whole),
                      F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<int>")))
-    taken = rows.join(drawn.select(ROW, F.explode(words).alias("_words")), ROW)
+    taken = rows.join(drawn.select(row, F.explode(words).alias(keep)), row)
     parts = F.regexp_extract_all("text", F.lit(r"([\x20\x09-\x0D]*[^\x20\x09-\x0D]+)"), 1)
-    cut = F.when(F.col("_words").isNull(), F.col("text")).otherwise(F.array_join(F.slice(parts, 1, F.col("_words")), ""))
-    return taken.withColumn("text", cut).select(docs.columns)
+    cut = F.when(F.col(keep).isNull(), F.col("text")).otherwise(F.array_join(F.slice(parts, 1, F.col(keep)), ""))
+    return taken.withColumn("text", cut).select(_columns(docs))
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -77,7 +94,7 @@ STAGES = [
     ("encoding", encoding_stage),
 ]
 
-#: The classifier, the fingerprints and the encoding have no SQL; a test compares the job with brute force.
+#: The classifier, the fingerprints and the encoding have no SQL; tests/llm/test_pipeline.py compares run() with brute force.
 ORACLE_SQL = None
 
 
