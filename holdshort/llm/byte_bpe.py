@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from holdshort.llm.batches import slices
+from holdshort.llm.batches import slices, with_columns
 from holdshort.llm.shipping import ship, shipped
 from holdshort.llm.units import space_units
 
@@ -204,7 +204,7 @@ def _added(df: DataFrame, columns: dict[str, str], fill) -> DataFrame:
     clash = columns.keys() & set(df.columns)
     if clash:
         raise ValueError(f"the input already has {sorted(clash)}")
-    return df.mapInArrow(fill, df.select("*", *[F.lit(None).cast(kind).alias(c) for c, kind in columns.items()]).schema)
+    return with_columns(df, fill, **{c: F.lit(None).cast(kind) for c, kind in columns.items()})
 
 
 def _decoded(ids: list[int] | None, tokens: list[bytes]) -> bytes:
@@ -233,7 +233,7 @@ def encode(df: DataFrame, vocabulary: Vocabulary, text: str = "text", ids: str =
                 if data:
                     bytes_.append(_decoded(found, tokens))
             more = [pa.array(bytes_, pa.binary())] if data else []
-            yield pa.RecordBatch.from_arrays([*rows.columns, _lists(values, offsets), *more], [*rows.schema.names, *new])
+            yield pa.RecordBatch.from_arrays([*rows.columns, _lists(values, offsets), *more], [*rows.schema.names, *[f"a{i}" for i in range(len(new))]])
 
     new = {ids: "array<int>"} | ({data: "binary"} if data else {})
     return _added(df, new, fill)
@@ -248,6 +248,6 @@ def decode(df: DataFrame, vocabulary: Vocabulary, ids: str = "ids", data: str =
         tokens = shipped(sent).tokens
         for rows in slices(batches, batch):
             found = [_decoded(x, tokens) for x in rows.column(at).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(found, pa.binary())], [*rows.schema.names, data])
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(found, pa.binary())], [*rows.schema.names, "a0"])
 
     return _added(df, {data: "binary"}, fill)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from holdshort.llm.batches import slices
+from holdshort.llm.batches import slices, with_columns
 from holdshort.llm.shipping import ship, shipped
 from holdshort.llm.subwords import Subwords, WordSums
 
@@ -154,6 +154,6 @@ def score(docs: DataFrame, model: Model, text: str = "text", name: str = "score"
         fitted = shipped(sent)
         for batch in slices(batches):
             scores = pa.array([fitted.score(x) for x in batch.column(at).to_pylist()], pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, scores], [*batch.schema.names, name])
+            yield pa.RecordBatch.from_arrays([*batch.columns, scores], [*batch.schema.names, "a0"])
 
-    return docs.mapInArrow(fill, docs.select("*", F.lit(0.0).alias(name)).schema)
+    return with_columns(docs, fill, **{name: F.lit(0.0)})

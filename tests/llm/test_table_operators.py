@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from holdshort.llm import golay_simhash, hilbert_shards, mixing, near_copies, ordering, top_k
+from holdshort.llm import golay_simhash, hilbert_shards, mixing, ordering, top_k
 from holdshort.llm.components import components
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -244,132 +244,3 @@ def test_components_of_chains_and_stars(spark):
     roots = {r.node: r.root for r in components(df).collect()}
     assert roots == {i: 0 for i in range(1, 101)} | {500 + i: 500 for i in range(1, 300)} | {2000: 1999}
     assert components(df.limit(0)).collect() == []
-
-
-def test_near_copies_against_similarity(spark):
-    pick = random.Random(10)
-    words = [f"w{i}" for i in range(3000)]
-    texts = []
-    for _ in range(40):
-        base = pick.choices(words, k=200)
-        texts.append(base)
-        for _ in range(3):
-            copy = list(base)
-            for at in pick.sample(range(200), pick.choice([1, 2, 3, 30])):
-                copy[at] = "changed"
-            texts.append(copy)
-    rows = [(i, " ".join(t)) for i, t in enumerate(texts)] + [(900, None), (901, ""), (902, "short"), (903, "short"), (904, "other")]
-    gone = {r.row for r in near_copies.surplus(spark.createDataFrame(rows, "row bigint, text string")).collect()}
-
-    def shingles(t):
-        return {tuple(t[i:i + 5]) for i in range(len(t) - 4)}
-
-    sets = [shingles(t) for t in texts]
-    linked = {b for a in range(len(texts)) for b in range(a + 1, min(a + 4, len(texts)))
-              if len(sets[a] & sets[b]) / len(sets[a] | sets[b]) >= 0.8}
-    own = {g for g in gone if g < 900}
-    assert own <= linked and len(own) >= 0.95 * len(linked)
-    assert gone - own == {901, 903}
-    assert near_copies.surplus(spark.createDataFrame([], "row bigint, text string")).collect() == []
-
-
-def plain_near_copies(texts):
-    """Places of texts that repeat an earlier one: equal, or alike in their shingles, directly or through others."""
-    sets = []
-    for t in texts:
-        w = (t or "").lower().split()
-        sets.append({tuple(w[i:i + 5]) for i in range(len(w) - 4)} or ({tuple(w)} if w else set()))
-    parent = list(range(len(texts)))
-
-    def find(x):
-        while parent[x] != x:
-            x = parent[x]
-        return x
-
-    for a, b in combinations(range(len(texts)), 2):
-        common = len(sets[a] & sets[b])
-        if (texts[a] or "") == (texts[b] or "") or common and common >= 0.8 * (len(sets[a]) + len(sets[b]) - common):
-            x, y = sorted((find(a), find(b)))
-            parent[y] = x
-    return {i for i in range(len(texts)) if find(i) != i}
-
-
-def found_near_copies(spark, texts):
-    return {r.row for r in near_copies.surplus(spark.createDataFrame(list(enumerate(texts)), "row bigint, text string")).collect()}
-
-
-def dropped(words, at):
-    return " ".join(words[:at] + words[at + 1:])
-
-
-def test_near_copies_with_equal_word_sets(spark):
-    """Copies of a text that are alike to it but not to each other, with the same set of words."""
-    pick = random.Random(20)
-    texts = []
-    for g in range(5):
-        words = [f"g{g}w{i}" for i in range(60)]
-        places = [6, 18, 30, 42, 54]
-        for at in places:
-            words[at] = "the"
-        copies = [dropped(words, at) for at in places]
-        texts += [copies[0], " ".join(words), *copies[1:]]
-    texts += [" ".join(pick.choices("abcdefgh", k=40)) for _ in range(20)]
-    assert found_near_copies(spark, texts) == plain_near_copies(texts) >= {i for i in range(30) if i % 6}
-
-
-def test_near_copies_in_large_groups(spark, monkeypatch):
-    """Hundreds of copies of one text that are alike to it and mostly not to each other, a chain, and a common passage."""
-    monkeypatch.setattr(near_copies, "BLOCK_SHINGLES", 6000, raising=False)
-    pick = random.Random(21)
-    words = [f"w{i}" for i in range(60)]
-
-    def edited(source, places, name):
-        return " ".join(f"{name}x{i}" if i in places else w for i, w in enumerate(source))
-
-    texts = [edited(words, {pick.choice(range(5, 55))}, f"c{i}") for i in range(300)]
-    texts.insert(200, " ".join(words))
-    chain = [f"k{i}" for i in range(100)]
-    for i in range(80):
-        texts.append(" ".join(chain))
-        chain[i % 99] = f"n{i}"
-    passage = [f"p{i}" for i in range(12)]
-    texts += [" ".join(passage + [f"u{i}v{j}" for j in range(40)]) for i in range(120)]
-    pick.shuffle(texts)
-    assert found_near_copies(spark, texts) == plain_near_copies(texts)
-
-
-def test_forest_and_groups_lose_no_link():
-    pick = random.Random(22)
-    sets = [np.array(sorted(pick.sample(range(60), pick.randint(0, 40)))) for _ in range(60)]
-    for _ in range(300):
-        base = pick.choice(sets).tolist()
-        sets.append(np.array(sorted({*base, *pick.sample(range(1000), 2)} - {*pick.sample(base, len(base) // 10)}), dtype=np.int64))
-    parent = list(range(len(sets)))
-
-    def find(x):
-        while parent[x] != x:
-            x = parent[x]
-        return x
-
-    def groups(pairs):
-        parent[:] = range(len(sets))
-        for a, b in pairs:
-            parent[find(b)] = find(a)
-        return {frozenset(i for i in range(len(sets)) if find(i) == r) for r in map(find, range(len(sets)))}
-
-    alike = [(a, b) for a, b in combinations(range(len(sets)), 2) if (n := len({*sets[a].tolist()} & {*sets[b].tolist()})) and
-             n >= 0.8 * (len(sets[a]) + len(sets[b]) - n)]
-    assert groups(near_copies.forest(sets, 0.8)) == groups(alike)
-
-
-def test_no_pair_at_the_threshold_is_lost(spark):
-    """Pairs without other members, planted from 0.75 to 1."""
-    pick = random.Random(23)
-    texts = []
-    for g in range(150):
-        words = [f"g{g}w{i}" for i in range(pick.randint(20, 120))]
-        places = pick.sample(range(len(words)), max(1, round(len(words) * pick.uniform(0.005, 0.03))))
-        texts += [" ".join(words), " ".join("new" if i in places else w for i, w in enumerate(words))]
-    expected = plain_near_copies(texts)
-    assert 60 <= len(expected) <= 140
-    assert found_near_copies(spark, texts) == expected
