@@ -149,11 +149,11 @@ def _state_durations(spark, sf):
 RADAR_KM = haversine(num(airport.RADAR[0]), num(airport.RADAR[1]), "lat", "lon")
 
 
-@query("thin_trajectory", f"""WITH {MSG}, r AS (SELECT ts, icao, speed, lat, lon, row_number() OVER (PARTITION BY icao ORDER BY ts) - 1 AS i
-  FROM msg WHERE speed IS NOT NULL)
+@query("thin_trajectory", f"""WITH {MSG}, r AS (SELECT ts, icao, speed, lat, lon, row_number() OVER (PARTITION BY icao
+  ORDER BY ts, speed NULLS FIRST, lat NULLS FIRST, lon NULLS FIRST) - 1 AS i FROM msg)
 SELECT epoch_us(ts) AS ts, icao, speed FROM r WHERE i % (CASE WHEN {RADAR_KM} < 10 AND speed <= 300 THEN 10 ELSE 50 END) = 0""")
 def _thin_trajectory(spark, sf):
-    rows = messages(spark, sf).where("speed IS NOT NULL").select("ts", F.col("icao").alias("callsign"), "speed", "lat", "lon")
+    rows = messages(spark, sf).select("ts", F.col("icao").alias("callsign"), "speed", "lat", "lon")
     return movements.thin_trajectory(rows).select(micros("ts"), F.col("callsign").alias("icao"), "speed")
 
 

@@ -260,7 +260,7 @@ def state_durations(messages: DataFrame) -> DataFrame:
 def thin_trajectory(rows: DataFrame, near_km: float = 10.0, slow: float = 300.0, near_step: int = 10,
                     far_step: int = 50, order: Sequence[str] = ("ts",)) -> DataFrame:
     """Per callsign keep every 10th row near the radar at low speed, else every 50th; rows at one time are ordered by
-    their other columns."""
+    their other columns. All rows count; one without a speed or place is not near and slow."""
     numbered = number_rows(rows, _total(rows, order, ["callsign"]), ["callsign"], "_i")
     slow_near = (geo.radar_distance_km("lat", "lon") < near_km) & (F.col("speed") <= slow)
     step = F.when(slow_near, near_step).otherwise(far_step)

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from holdshort.operators.spread import number_rows, spread_join
 from holdshort.session import freeze
 
 GROUP = ["runway", "_day"]
@@ -48,7 +49,7 @@ def rolling_prior_mean(rows: DataFrame, last: int = 3, default: float = 170.0, s
 
     Flights enter a running top list when their earliest message counts, so no pairs of rows are formed. Messages of
     one flight may disagree about the instant by a rounding error: until the earliest message counts, a later one may
-    stand in for it. Those short spans are matched on their own and merged at the end.
+    stand in for it. Those spans are matched through canonical nodes and merged at the end.
     """
     keep = last + 1  # the row's own flight may be among them
     micros = F.unix_micros(F.col("ts").cast("timestamp"))
@@ -65,8 +66,8 @@ def rolling_prior_mean(rows: DataFrame, last: int = 3, default: float = 170.0, s
 
     points = dated.select(*GROUP, "_t").distinct()
     tops, names = _top_settled(points, settled, keep, slot_s)
-    standins = _standins(said, settled, flight)
-    extra = _standins_at(points, standins, keep, slot_s)
+    standins = freeze(_standins(said, settled, flight))
+    extra = _standins_at(points, standins, keep)
     per_point = tops.join(extra, [*GROUP, "_t"], "left")
     out = dated.join(per_point, [*GROUP, "_t"], "left")
     candidates = F.array(*names)
@@ -119,17 +120,41 @@ def _standins(said, settled, flight):
                           _entry("_m._t", "_m.takeoff_time").alias("_item"))
 
 
-def _standins_at(points, standins, keep, slot_s):
-    """The `keep` latest stand-ins at each point (from < point <= to)."""
-    width = slot_s * 1_000_000
-    # no point lies after the end of the day
-    day_end = F.unix_micros((F.date_add("_day", 1)).cast("timestamp"))
-    first = F.floor(F.col("_from") / F.lit(width)).cast("long")
-    final = F.floor(F.least(F.col("_to"), day_end) / F.lit(width)).cast("long")
-    standins = standins.where(F.col("_from") < day_end)
-    spans = standins.withColumn("_slot", F.explode(F.sequence(first, final)))
-    hit = points.withColumn("_slot", F.floor(F.col("_t") / F.lit(width)).cast("long")).join(
-        spans, [*GROUP, "_slot"]).where("_from < _t AND _t <= _to")
-    ranked = hit.withColumn("_r", F.row_number().over(
-        Window.partitionBy(*GROUP, "_t").orderBy(F.desc("_item")))).where(F.col("_r") <= keep)
-    return ranked.groupBy(*GROUP, "_t").agg(F.collect_list("_item").alias("_extra"))
+#: Nodes of an interval tree over places 0, 1, 2 … that together cover the places from `_lo` to below `_hi`: at each level
+#: at most one at either end, so twice the logarithm of the number of places.
+CANONICAL = """filter(flatten(transform(sequence(0, cast(ceil(log2(_hi + 1)) AS int)), k -> transform(
+  array(named_struct('lo', shiftright(_lo + shiftleft(1L, k) - 1, k), 'hi', shiftright(_hi, k))), e -> array(
+    if(e.lo < e.hi AND e.lo % 2 = 1, named_struct('level', k, 'node', e.lo), NULL),
+    if(e.lo < e.hi AND e.hi % 2 = 1, named_struct('level', k, 'node', e.hi - 1), NULL)))[0])), x -> x IS NOT NULL)"""
+
+
+def _standins_at(points, standins, keep):
+    """The `keep` latest stand-ins at each point (from < point <= to), by canonical nodes instead of a range join.
+
+    Points are numbered within their group, and a span becomes a range of numbers; both come from one running count.
+    A span goes to the few nodes that cover its range, each node keeps its latest `keep` spans, and a point reads the
+    nodes above it. Rows grow with the logarithm of the group, whatever number of spans is open at one time.
+    """
+    ends = standins.select(*GROUP, F.explode(F.array("_from", "_to")).alias("_t"), F.lit(0).alias("_n")).distinct()
+    # at one instant points come first: a span begins behind and ends with the points of its instant
+    places = number_rows(points.select(*GROUP, "_t", F.lit(1).alias("_n")).unionByName(ends), ["_t", F.col("_n").desc()], GROUP,
+                         name="_place", weight="_n")
+    at_end = places.where("_n = 0").select(*GROUP, "_t", F.col("_place").cast("long").alias("_place"))
+    spans = standins.select(*GROUP, "_from", "_to", "_item")
+    low = at_end.withColumnsRenamed({"_t": "_from", "_place": "_lo"})
+    high = at_end.withColumnsRenamed({"_t": "_to", "_place": "_hi"})
+    ranged = spread_join(spread_join(spans, low, [*GROUP, "_from"]), high, [*GROUP, "_to"]).where("_lo < _hi")
+    noded = ranged.select(*GROUP, "_item", F.explode(F.expr(CANONICAL)).alias("_at")).select(
+        *GROUP, F.col("_at.level").alias("_level"), F.col("_at.node").alias("_node"), "_item")
+    node = [*GROUP, "_level", "_node"]
+    latest = noded.withColumn("_r", F.row_number().over(Window.partitionBy(*node).orderBy(F.desc("_item")))).where(
+        F.col("_r") <= keep)
+    tops = freeze(latest.groupBy(*node).agg(F.collect_list("_item").alias("_items")))
+    height = tops.groupBy(*GROUP).agg(F.max("_level").alias("_height"))
+    numbered = places.where("_n = 1").select(*GROUP, "_t", (F.col("_place") - 1).cast("long").alias("_place"))
+    above = spread_join(numbered, height, GROUP).select(
+        *GROUP, "_t", "_place", F.explode(F.sequence(F.lit(0), F.col("_height"))).alias("_level")).select(
+        *GROUP, "_t", "_level", F.expr("shiftright(_place, _level)").alias("_node"))
+    hit = spread_join(above, tops, node)
+    latest_of = F.slice(F.sort_array(F.flatten(F.collect_list("_items")), asc=False), 1, keep)
+    return hit.groupBy(*GROUP, "_t").agg(latest_of.alias("_extra"))

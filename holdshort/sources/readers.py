@@ -71,8 +71,8 @@ def scan_aircraft_db(spark: SparkSession, path: str) -> DataFrame:
     character of `engines` gives the engine count, addresses are upper case, malformed lines are dropped."""
     names = spark.read.csv(path, header=True, quote='"').columns
     fields = [T.StructField(c, T.StringType()) for c in [*names, "_malformed"]]
-    # all fields are parsed: a line with too many or too few would pass if only some were read
-    raw = spark.read.csv(path, schema=T.StructType(fields), header=True, mode="PERMISSIVE", quote='"',
+    # without pruning every field is parsed; otherwise a line with too many or too few fields passes if only some are read
+    raw = spark.read.option("columnPruning", "false").csv(path, schema=T.StructType(fields), header=True, mode="PERMISSIVE", quote='"',
                          columnNameOfCorruptRecord="_malformed").where("_malformed IS NULL").drop("_malformed")
     rows = raw.toDF(*[c.replace("'", "") for c in raw.columns]).select(*AIRCRAFT_COLUMNS)
     clean = rows.select(*[

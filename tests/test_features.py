@@ -145,7 +145,7 @@ def test_grid_search_prefers_the_better_setting(line):
 
 def test_tree_ensembles_fit_a_line(line):
     for scored in (
-        regression.ada_boost(line, "takeoff_time", rounds=5, max_depth=5, cut_every=2).transform(line),
+        regression.ada_boost(line, "takeoff_time", rounds=5, max_depth=5).transform(line),
         regression.two_regime_model(line, line, "takeoff_time", lambda: regression.boosted_trees("takeoff_time", maxIter=5)).both,
         regression.model_per_group(line, line, "runway", lambda: regression.boosted_trees("takeoff_time", maxIter=5), ["p", "q"]),
     ):
