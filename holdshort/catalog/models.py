@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
@@ -10,7 +12,7 @@ from holdshort.catalog.aggregates import rounded
 from holdshort.catalog.tables import table, wait_rows
 from holdshort.features import encoders, splits
 from holdshort.functions.labels import day_off, wait_class
-from holdshort.models import classification, regression, search
+from holdshort.models import classification, gram, regression, search
 from holdshort.operators import reports, statistics
 from holdshort.plans import training
 from holdshort.session import freeze
@@ -85,23 +87,62 @@ def _two_regime(spark, sf):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-@query("grid_search")
-def _grid(spark, sf):
-    rows = freeze(encoders.booleans_to_int(wait_rows(spark, sf)).drop("prediction"))
-    folds = splits.expanding_folds(rows, [("1998-12-31", "1999-01-01", "1999-12-31"), ("1999-12-31", "2000-01-01", "2000-12-31")])
-    grid = search.param_grid(regParam=[0.01, 1.0], elasticNetParam=[0.0, 1.0])
-    encoder = encoders.feature_pipeline_lr(["runway", "holding_point", "weekday"], NUMERIC, ["is_holiday"])
-    _, results = search.grid_search(lambda **p: regression.linear_regression("takeoff_time", maxIter=50, **p), grid, folds,
-                                    "takeoff_time", encoder=encoder)
-    flat = [(r["params"]["regParam"], r["params"]["elasticNetParam"], r["train_mae"], r["train_rmse"], r["val_mae"], r["val_rmse"]) for r in results]
-    return rounded(spark.createDataFrame(flat, "reg double, enet double, train_mae double, train_rmse double, val_mae double, val_rmse double"),
-                   "train_mae", "train_rmse", "val_mae", "val_rmse", digits=4)
-
-
 #: Training grows by a year, the next year validates.
 YEARS = [(f"{y}-12-31", f"{y + 1}-01-01", f"{y + 1}-12-31") for y in range(1995, 2000)]
 
 
+FOLDS = [tuple(datetime.fromisoformat(d) for d in (f"{y + 1}-01-01", f"{y + 1}-01-01", f"{y + 2}-01-01")) for y in range(1995, 2000)]
+
+
+def _linear_folds(spark, sf):
+    rows = encoders.booleans_to_int(wait_rows(spark, sf)).drop("prediction")
+    train, _ = splits.time_split(rows, CUT)
+    encoder = encoders.feature_pipeline_lr(["runway", "holding_point", "weekday"], NUMERIC, ["is_holiday"]).fit(train)
+    # the scale of a feature does not matter to the fit, so one encoding serves all folds
+    folds = gram.Folds(encoder.transform(train).select("timestamp", "takeoff_time", "features"), "takeoff_time", FOLDS)
+    return folds.search(search.param_grid(**regression.LINEAR_GRID))
+
+
+ERRORS = ["train_mae", "train_rmse", "val_mae", "val_rmse"]
+
+
+@query("grid_search_folds")
+def _grid_folds(spark, sf):
+    """Every setting of the published grid on every fold."""
+    flat = [(r["fold"], *[r["params"][p] for p in regression.LINEAR_GRID], *[r[e] for e in ERRORS]) for r in _linear_folds(spark, sf)]
+    return rounded(spark.createDataFrame(flat, "fold int, reg double, enet double, max_iter int, " + ", ".join(f"{e} double" for e in ERRORS)),
+                   *ERRORS, digits=4)
+
+
+@query("grid_search")
+def _grid(spark, sf):
+    """Errors of the settings, averaged over the folds."""
+    return rounded(_grid_folds(spark, sf).groupBy("reg", "enet", "max_iter").agg(*[F.avg(e).alias(e) for e in ERRORS]), *ERRORS, digits=4)
+
+
+@query("ridge_folds", f"""WITH r AS (SELECT CAST(l_partkey % 120 AS DOUBLE) AS x, CAST(l_quantity * 5 AS DOUBLE) AS y,
+  year(l_shipdate) AS year FROM lineitem),
+f AS (SELECT fold, reg FROM unnest(generate_series(0, 4)) a(fold), (VALUES (0.01), (0.1), (1.0)) b(reg)),
+t AS (SELECT fold, reg, count(*) AS n, avg(x) AS mx, avg(y) AS my, stddev_pop(x) AS sx, stddev_pop(y) AS sy, corr(x, y) AS c
+  FROM f JOIN r ON year <= 1995 + fold GROUP BY ALL),
+m AS (SELECT fold, reg, c / (1 + CAST(reg AS DOUBLE) / sy) * sy / sx AS slope, my - c / (1 + CAST(reg AS DOUBLE) / sy) * sy / sx * mx AS intercept FROM t)
+SELECT CAST(fold AS INTEGER) AS fold, CAST(reg AS DOUBLE) AS reg, round(slope, 6) AS slope, round(intercept, 5) AS intercept,
+  round(sqrt(avg(pow(y - intercept - slope * x, 2)) FILTER (WHERE year <= 1995 + fold)), 5) AS train_rmse,
+  round(sqrt(avg(pow(y - intercept - slope * x, 2)) FILTER (WHERE year = 1996 + fold)), 5) AS val_rmse,
+  round(avg(abs(y - intercept - slope * x)) FILTER (WHERE year = 1996 + fold), 5) AS val_mae
+FROM m, r GROUP BY fold, reg, slope, intercept""")
+def _ridge_folds(spark, sf):
+    """Ridge fits of one feature on growing years, which have a closed form."""
+    rows = wait_rows(spark, sf).select("timestamp", "takeoff_time", array_to_vector(
+        F.array(F.col("time_since_last_event_seconds").cast("double"))).alias("features"))
+    found = gram.Folds(rows, "takeoff_time", FOLDS).search(search.param_grid(regParam=[0.01, 0.1, 1.0], elasticNetParam=[0.0]))
+    flat = [(r["fold"], r["params"]["regParam"], float(r["coefficients"][0]), r["intercept"], r["train_rmse"], r["val_rmse"], r["val_mae"])
+            for r in found]
+    names = ["slope", "intercept", "train_rmse", "val_rmse", "val_mae"]
+    out = spark.createDataFrame(flat, "fold int, reg double, " + ", ".join(f"{n} double" for n in names))
+    return rounded(rounded(out, "slope", digits=6), *names[1:], digits=5)
+
+
 @query("training_plan")
 def _training_plan(spark, sf):
     rows = freeze(encoders.booleans_to_int(wait_rows(spark, sf)).drop("prediction"))
