@@ -12,7 +12,7 @@ from holdshort.catalog.aggregates import rounded
 from holdshort.catalog.tables import table, wait_rows
 from holdshort.features import encoders, splits
 from holdshort.functions.labels import day_off, wait_class
-from holdshort.models import classification, gram, regression, search
+from holdshort.models import bayes, classification, gram, regression, search
 from holdshort.operators import reports, statistics
 from holdshort.plans import training
 from holdshort.session import freeze
@@ -170,18 +170,55 @@ def class_rows(spark, sf):
     return freeze(out.select("timestamp", "weekday", "is_holiday", "label", "features"))
 
 
-@query("naive_bayes")
-def _naive_bayes(spark, sf):
+def _bayes_rows(spark, sf):
     rows = class_rows(spark, sf)
     train, test = splits.time_split(rows, CUT)
     weighted = statistics.with_class_weights(train, statistics.class_weights(train, "label"), "label")
     fit, validation = splits.time_split(weighted, "2000-01-01")
-    grid = search.param_grid(smoothing=[0.5, 1.0], modelType=["multinomial", "gaussian"])
-    best, _ = search.classification_search(lambda **p: classification.naive_bayes("label", **p), grid, fit, validation, "label")
-    scored = classification.naive_bayes("label", **best).fit(weighted).transform(test)
+    return weighted, fit, validation, test
+
+
+@query("naive_bayes")
+def _naive_bayes(spark, sf):
+    weighted, fit, validation, test = _bayes_rows(spark, sf)
+    best, _ = bayes.search(bayes.ClassSums.of(fit, "label"), search.param_grid(**classification.BAYES_GRID), validation, "label")
+    model = bayes.ClassSums.of(weighted, "label").model(best["modelType"], best["smoothing"])
+    scored = test.withColumn("prediction", model.predict(vector_to_array("features")))
     return rounded(reports.classification_report(scored), "precision", "recall", "f1", digits=4)
 
 
+@query("naive_bayes_grid")
+def _naive_bayes_grid(spark, sf):
+    """Hold-out accuracy of every setting of the published grid."""
+    _, fit, validation, _ = _bayes_rows(spark, sf)
+    _, results = bayes.search(bayes.ClassSums.of(fit, "label"), search.param_grid(**classification.BAYES_GRID), validation, "label")
+    flat = [(r["params"]["modelType"], r["params"]["smoothing"], r["accuracy"]) for r in results]
+    return rounded(spark.createDataFrame(flat, "kind string, smoothing double, accuracy double"), "accuracy", digits=4)
+
+
+@query("naive_bayes_parameters", """WITH r AS (SELECT CAST(l_suppkey % 3 AS INTEGER) AS label, CAST(l_quantity AS DOUBLE) AS w,
+  [CAST(l_orderkey % 4 AS DOUBLE), CAST(l_partkey % 4 AS DOUBLE), CAST(l_partkey % 120 AS DOUBLE)] AS x FROM lineitem),
+c AS (SELECT label, sum(w) AS n FROM r GROUP BY 1),
+s AS (SELECT label, CAST(slot AS INTEGER) AS slot, sum(w * x[slot + 1]) AS v, sum(w * x[slot + 1] * x[slot + 1]) AS q
+  FROM r, unnest(generate_series(0, 2)) u(slot) GROUP BY ALL),
+t AS (SELECT label, sum(v) AS all_v FROM s GROUP BY 1), a AS (SELECT sum(n) AS n FROM c),
+w AS (SELECT max(q / n - (v / n) ** 2) AS most FROM (SELECT slot, sum(v) AS v, sum(q) AS q FROM s GROUP BY 1), a)
+SELECT label, slot, round(ln(c.n + 0.5) - ln(a.n + 0.5 * 3), 6) AS prior, round(ln(v + 0.5) - ln(all_v + 0.5 * 3), 6) AS theta,
+  round(v / c.n, 6) AS mean, round(q / c.n - (v / c.n) ** 2 + 1e-9 * most, 4) AS variance
+FROM s JOIN c USING (label) JOIN t USING (label), a, w""")
+def _naive_bayes_parameters(spark, sf):
+    """Multinomial (smoothing 0.5) and Gaussian parameters by class and feature."""
+    columns = ["last_min_takeoffs", "last_min_landings", "time_since_last_event_seconds"]
+    rows = wait_rows(spark, sf).select((F.col("icao").cast("int") % 3).alias("label"), (F.col("takeoff_time") / 5).alias("weight"),
+                                       array_to_vector(F.array(*[F.col(c).cast("double") for c in columns])).alias("features"))
+    sums = bayes.ClassSums.of(rows, "label")
+    counts, normal = sums.model("multinomial", 0.5), sums.model("gaussian")
+    flat = [(label, slot, *map(float, (counts.prior[i], counts.theta[i, slot], normal.theta[i, slot], normal.sigma[i, slot])))
+            for i, label in enumerate(sums.labels) for slot in range(len(columns))]
+    out = spark.createDataFrame(flat, "label int, slot int, prior double, theta double, mean double, variance double")
+    return rounded(rounded(out, "prior", "theta", "mean", digits=6), "variance", digits=4)
+
+
 @query("logistic_binary")
 def _logistic_binary(spark, sf):
     rows = class_rows(spark, sf).withColumn("label", day_off(holiday=F.col("is_holiday") == 1).cast("double"))

@@ -31,7 +31,7 @@ def piece(ts: str, cuts: Sequence[datetime]) -> Column:
     return reduce(Column.__add__, [(F.col(ts) >= F.lit(cut)).cast("int") for cut in cuts])
 
 
-def _sums(rows: DataFrame, width: int, reduce_block: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> dict[int, np.ndarray]:
+def piece_sums(rows: DataFrame, width: int, reduce_block: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> dict[int, np.ndarray]:
     """Piece -> sum of `reduce_block(features, target)`, `width` numbers, over the rows (piece, target, features).
 
     A task adds its batches up and hands on one row per piece; a few tasks add these up, and the driver adds their sums.
@@ -145,7 +145,7 @@ class Folds:
             z = np.column_stack([np.ones(len(y)), y, x])
             return (z.T @ z).ravel()
 
-        found = _sums(self.rows, size * size, products)
+        found = piece_sums(self.rows, size * size, products)
         self.running = self._running({k: v.reshape(size, size) for k, v in found.items()}, (size, size))
 
     def _running(self, found: dict[int, np.ndarray], shape: tuple[int, ...]) -> np.ndarray:
@@ -180,7 +180,7 @@ class Folds:
             def misses(x: np.ndarray, y: np.ndarray) -> np.ndarray:
                 return np.abs(x @ weights[:-1] + weights[-1] - y[:, None]).sum(0)
 
-            running = self._running(_sums(self.rows, len(at), misses), (len(at),))
+            running = self._running(piece_sums(self.rows, len(at), misses), (len(at),))
             for row in out:
                 fold = self.folds[row["fold"]]
                 model = at[row["fold"], (row["params"].get("regParam", 0.0), row["params"].get("elasticNetParam", 0.0))]
