@@ -33,8 +33,10 @@ POWERS = (0.5, 1, 2, 4)
 #: A composite key holds a length and the number of a document within it.
 RANK_BITS = 40
 #: Bounds of what a worker remembers; when one is reached, the memory starts anew. They do not change results.
-UNITS_KEPT = 400_000
+UNITS_KEPT = 800_000
 UNIT_LENGTH_KEPT = 64
+#: New units that the library gets in one text.
+UNITS_JOINED = 256
 
 
 def patterns(lengths: np.ndarray, capacity: int) -> np.ndarray:
@@ -203,7 +205,8 @@ class Plan:
 class _Encoder:
     """Token ids of whole texts in a task, as bytes of unsigned 32-bit numbers; units that no token crosses are remembered.
 
-    Units behind a single space are kept under their letters, all others under a space and the unit.
+    Units behind a single space are kept under their letters, all others under a space and the unit. New units of the first
+    kind go to the library many in one text: a token that begins with a space begins a unit, as they have no other space.
     """
 
     def __init__(self, data: bytes, by_unit: bool):
@@ -215,34 +218,49 @@ class _Encoder:
         self.by_unit = by_unit
         self.units: dict[str, bytes] = {}
         self.encode = lambda texts: [
-            np.array(e.ids, dtype="<u4").tobytes() for e in library.encode_batch_fast(texts, add_special_tokens=False)]
+            np.array(e.ids, dtype="<u4") for e in library.encode_batch_fast(texts, add_special_tokens=False)]
+        vocabulary = library.get_vocab(True)
+        self.begins = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=bool)
+        self.begins[[i for token, i in vocabulary.items() if token[:1] == "\u0120"]] = True  # how byte-level files write a space
 
-    def ids(self, text: str) -> bytes:
-        if not text:
-            return b""
+    def ids(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text."""
         if not self.by_unit:
-            return self.encode([text])[0]
-        body = text.rstrip()
-        head, *rest = body.split(" ")
-        get = self.units.get
-        found = [get(" " + head), *map(get, rest)]
-        if None in found:
-            found = self._new(space_units(body), head, rest)
-        if len(body) < len(text):
-            found += self._new([text[len(body):]], "", [""])
-        return b"".join(found)
-
-    def _new(self, units: list[str], head: str, rest: list[str]) -> list[bytes]:
-        """Ids of units of which some are not remembered."""
-        plain = len(units) <= len(rest)  # white space stands beside a space, and units are not what single spaces part
-        keys = [" " + u for u in units] if plain else [" " + head, *rest]
-        missing = {k: u for k, u in zip(keys, units) if k not in self.units}
-        new = dict(zip(missing, self.encode(list(missing.values()))))
-        found = [new[k] if k in new else self.units[k] for k in keys]
-        if len(self.units) + len(new) > UNITS_KEPT:
-            self.units.clear()
-        self.units.update((k, i) for k, i in new.items() if len(k) <= UNIT_LENGTH_KEPT)
-        return found
+            return [x.tobytes() for x in self.encode(texts)]
+        units = self.units
+        if len(units) > UNITS_KEPT:
+            units.clear()
+        units[" "] = b""
+        cut, wanted = [], set()
+        for text in texts:
+            body = text.rstrip()
+            head, *rest = body.split(" ")
+            new = set(rest).difference(units)
+            if any(not k or k[0].isspace() or k[-1].isspace() for k in new):
+                # white space stands beside a space, and units are not what single spaces part
+                keys = [" " + u for u in space_units(text)]
+                new = set(keys).difference(units)
+            else:
+                keys = [" " + head, *rest, " " + text[len(body):]]
+                new.update({keys[0], keys[-1]}.difference(units))
+            cut.append(keys)
+            wanted |= new
+        spaced = [k for k in wanted if k[0] != " "]
+        plain = [k for k in wanted if k[0] == " "]
+        units.update(zip(plain, (x.tobytes() for x in self.encode([k[1:] for k in plain]))))
+        groups = [spaced[i:i + UNITS_JOINED] for i in range(0, len(spaced), UNITS_JOINED)]
+        for group, found in zip(groups, self.encode([" " + " ".join(g) for g in groups])):
+            starts = np.flatnonzero(self.begins[found])
+            if len(starts) != len(group):
+                raise ValueError("a unit of the text does not begin with a token that begins with a space")
+            ends = [*(4 * starts[1:]).tolist(), 4 * len(found)]
+            data = found.tobytes()
+            units.update((k, data[a:z]) for k, a, z in zip(group, (4 * starts).tolist(), ends))
+        out = [b"".join(map(units.__getitem__, keys)) for keys in cut]
+        for key in wanted:
+            if len(key) > UNIT_LENGTH_KEPT:
+                del units[key]
+        return out
 
 
 def pieces(docs: DataFrame, tokenizer: Tokenizer, capacity: int, end: int, key: str = "doc_id", text: str = "text",
@@ -261,12 +279,14 @@ def pieces(docs: DataFrame, tokenizer: Tokenizer, capacity: int, end: int, key:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = _Encoder(sent.value, by_unit)
+        if not hasattr(sent, "_encoder"):  # a worker that is used again goes on with what it remembers
+            sent._encoder = _Encoder(sent.value, by_unit)
+        encoder = sent._encoder
         last = np.array([end], dtype="<u4").tobytes()
         for rows in slices(batches):
             owner, out, tokens = [], [], []
-            for at, value in enumerate(rows.column(1).to_pylist()):
-                found = np.frombuffer(encoder.ids(value or "") + last, dtype="<u4")
+            for at, coded in enumerate(encoder.ids([x or "" for x in rows.column(1).to_pylist()])):
+                found = np.frombuffer(coded + last, dtype="<u4")
                 start, piece = 0, 0
                 while start < len(found):
                     stop = start + ((len(found) - start - 1) % capacity + 1 if not piece else capacity)
