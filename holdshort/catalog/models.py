@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from holdshort.catalog import query
 from holdshort.catalog.aggregates import rounded
 from holdshort.catalog.tables import table, wait_rows
-from holdshort.features import encoders, splits
+from holdshort.features import encoders, quantiles, splits
 from holdshort.functions.labels import day_off, wait_class
 from holdshort.models import bayes, classification, gram, regression, search
 from holdshort.operators import reports, statistics
@@ -143,6 +143,19 @@ def _ridge_folds(spark, sf):
     return rounded(rounded(out, "slope", digits=6), *names[1:], digits=5)
 
 
+@query("quantile_by_fold", """SELECT CAST(fold AS INTEGER) AS fold, count(*) AS n, true AS within
+FROM unnest(generate_series(0, 4)) f(fold) JOIN lineitem ON year(l_shipdate) <= 1995 + fold GROUP BY fold""")
+def _quantile_by_fold(spark, sf):
+    """Third quartiles of growing years from sketches of days; exact ranks tell whether each lies within one percent."""
+    rows = wait_rows(spark, sf).select("timestamp", "takeoff_time")
+    cutoffs = quantiles.fold_cutoffs(quantiles.day_sketches(rows, "takeoff_time"), [fold[0] for fold in FOLDS])
+    ends = F.element_at(F.array(*[F.lit(fold[0]) for fold in FOLDS]), F.col("fold") + 1)
+    ranked = rows.join(F.broadcast(cutoffs), F.col("timestamp") < ends).groupBy("fold", "n").agg(
+        F.avg((F.col("takeoff_time") < F.col("cutoff")).cast("double")).alias("below"),
+        F.avg((F.col("takeoff_time") <= F.col("cutoff")).cast("double")).alias("up_to"))
+    return ranked.select("fold", "n", ((F.col("below") <= 0.76) & (F.col("up_to") >= 0.74)).alias("within"))
+
+
 @query("training_plan")
 def _training_plan(spark, sf):
     rows = freeze(encoders.booleans_to_int(wait_rows(spark, sf)).drop("prediction"))

@@ -38,6 +38,19 @@ def _partition_by_day_hour(spark, sf):
         F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"))
 
 
+@query("merge_by_day_hour", """SELECT strftime(ts, '%Y-%m-%d') AS date, CAST(strftime(ts, '%H') AS INTEGER) AS hour, count(*) AS n,
+  sum(event_id)::BIGINT AS ids, round(sum(CASE WHEN event_id % 10 = 0 THEN value + 1 ELSE value END), 4) AS total FROM events GROUP BY ALL""")
+def _merge_by_day_hour(spark, sf):
+    """The same rows twice, then a correction of some of them."""
+    path = scratch_path(spark, "merged")
+    rows = table(spark, sf, "events").select("event_id", "ts", "value")
+    writers.merge_by_day_hour(rows, path, ["event_id"])
+    writers.merge_by_day_hour(rows, path, ["event_id"])
+    writers.merge_by_day_hour(rows.where("event_id % 10 = 0").withColumn("value", F.col("value") + 1), path, ["event_id"])
+    return spark.read.parquet(path).groupBy(F.col("date").cast("string").alias("date"), "hour").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"), F.round(F.sum("value"), 4).alias("total"))
+
+
 @query("consolidate_parquet", "SELECT event_type, event_id, CASE WHEN event_type IN ('click', 'view') THEN value END AS value FROM events")
 def _consolidate_parquet(spark, sf):
     path = scratch_path(spark, "parts")
