@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 #: Starts of licence sentences, normalised (lower case, letters and digits, single spaces), by identifier.
 SENTENCES = {
     "agpl-name": "gnu affero general public license",
+    "agpl-redistribute": "you can redistribute it and or modify it under the terms of the gnu affero general public license",
     "agpl3-under": "licensed under the gnu affero general public license version 3",
     "apache-under": "licensed under the apache license version 2 0",
     "apache-may-not": "you may not use this file except in compliance with the license",
@@ -34,11 +35,13 @@ SENTENCES = {
     "cc-by-under": "licensed under cc by 4 0",
     "gpl2-under": "this work is licensed under the gnu general public license version 2",
     "gpl3-under": "this work is licensed under the gnu general public license version 3",
-    "gpl-redistribute": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license",
+    "gpl-free": "this program is free software",
+    "gpl-redistribute": "you can redistribute it and or modify it under the terms of the gnu general public license",
     "gpl-warranty": "this program is distributed in the hope that it will be useful but without any warranty",
     "gpl-received": "you should have received a copy of the gnu general public license",
     "isc-permission": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted",
-    "lgpl-redistribute": "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license",
+    "lgpl-free": "this library is free software",
+    "lgpl-redistribute": "you can redistribute it and or modify it under the terms of the gnu lesser general public license",
     "mit-permission": "permission is hereby granted free of charge to any person obtaining a copy of this software",
     "mit-notice": "the above copyright notice and this permission notice shall be included in all copies",
     "mit-provided": "the software is provided as is without warranty of any kind",
@@ -55,7 +58,9 @@ RULES = (
     ("Apache-2.0", "apache-under apache-may-not apache-obtain apache-unless"),
     ("BSD-3-Clause", "bsd-redistribution bsd-source bsd-binary bsd-name bsd-provided"),
     ("BSD-2-Clause", "bsd-redistribution bsd-source bsd-binary bsd-provided"),
-    ("GPL", "gpl-redistribute gpl-warranty gpl-received"),
+    ("AGPL-3.0", "gpl-free agpl-redistribute"),
+    ("GPL", "gpl-free gpl-redistribute gpl-warranty gpl-received"),
+    ("LGPL", "lgpl-free lgpl-redistribute"),
     ("LGPL", "lgpl-redistribute"),
     ("ISC", "isc-permission mit-provided"),
     ("ISC", "isc-permission"),
@@ -67,6 +72,7 @@ RULES = (
     ("BSD-3-Clause", "bsd3-under"),
     ("BSD-2-Clause", "bsd2-under"),
     ("AGPL-3.0", "agpl3-under"),
+    ("AGPL-3.0", "agpl-redistribute"),
     ("AGPL-3.0", "agpl-name"),
     ("GPL-3.0", "gpl3-under"),
     ("GPL-2.0", "gpl2-under"),
@@ -85,14 +91,22 @@ RULES = (
 
 #: What a sentence about rights mentions; it is looked at more closely only then.
 MENTIONS = r"(?i)licen[sc]|copyright|permission|redistribut|warrant|unencumbered|free software|rights reserved|neither the name|may not use this file|provided (by|as)"
-CONTINUED = r"\n(\p{Ll})"
+#: Indentation and comment marks in front of a line; a version mark, whose full stop ends no sentence; the start of a line
+#: that goes on with the sentence before, in lower case or within a licence's name.
+MARGIN = r"(^|\n)[ \t]*(?:#+|//+|/\*+|\*+|--+|;+|%+)?[ \t]*"
+VERSION = r"\b([Vv])\.[ \t\r\n]+(\d)"
+CONTINUED = r"\n(\p{Ll}|(?:Affero|Lesser|General|Public|License)[ ,])"
 END = r"([.!?;:])[ \t\r\n]+"
 OTHER = r"[^\p{L}\p{Nd}]+"
 
 
 def sentences(text: Column) -> Column:
-    """Sentences of a text that mention rights, normalised. Lines that go on in lower case belong together."""
-    joined = F.regexp_replace(text, CONTINUED, " $1")
+    """Sentences of a text that mention rights, normalised. Lines that go on belong together, also in comments.
+
+    Colons and semicolons end a sentence, too; known sentences are the pieces that this leaves of the notices.
+    """
+    plain = F.regexp_replace(F.regexp_replace(text, MARGIN, "$1"), VERSION, "$1 $2")
+    joined = F.regexp_replace(plain, CONTINUED, " $1")
     parts = F.split(F.regexp_replace(joined, END, "$1\n"), "\n")
     return F.transform(F.filter(parts, lambda s: s.rlike(MENTIONS)), lambda s: F.trim(F.regexp_replace(F.lower(s), OTHER, " ")))
 
@@ -147,8 +161,9 @@ def oracle(table: str = "documents") -> str:
 WITH texts AS (
     SELECT doc_id, CASE WHEN regexp_matches(coalesce(text, ''), {quoted(MENTIONS)}) THEN text ELSE '' END AS text FROM {table}),
 parts AS (
-    SELECT doc_id, string_split(regexp_replace(regexp_replace(text, {quoted(CONTINUED)}, ' \\1', 'g'), {quoted(END)},
-                                               '\\1' || chr(10), 'g'), chr(10)) AS parts FROM texts),
+    SELECT doc_id, string_split(regexp_replace(regexp_replace(regexp_replace(regexp_replace(
+        text, {quoted(MARGIN)}, '\\1', 'g'), {quoted(VERSION)}, '\\1 \\2', 'g'), {quoted(CONTINUED)}, ' \\1', 'g'),
+        {quoted(END)}, '\\1' || chr(10), 'g'), chr(10)) AS parts FROM texts),
 ids AS (
     SELECT doc_id, list_transform(list_transform(list_filter(parts, lambda s: regexp_matches(s, {quoted(MENTIONS)})),
         lambda s: trim(regexp_replace(lower(s), {quoted(OTHER)}, ' ', 'g'))), lambda s: CASE {cases} END) AS ids FROM parts),
