@@ -116,13 +116,13 @@ def test_mix_of_nothing(spark):
     assert [r.taken for r in mixing.mix(none).collect()] == [0]
 
 
-def plain_top(vectors, k=5):
-    out = {}
-    for q, v in vectors.items():
+def plain_top(rows, k=5):
+    out = []
+    for at, (q, v) in enumerate(rows):
         if q % 50 == 0:
-            scores = sorted((-sum(a * b for a, b in zip(v, w)), c) for c, w in vectors.items() if c != q and len(w) == len(v))
-            out[q] = [(i + 1, c, -s) for i, (s, c) in enumerate(scores[:k])]
-    return {q: r for q, r in out.items() if r}
+            scores = sorted((-sum(a * b for a, b in zip(v, w)), c) for i, (c, w) in enumerate(rows) if i != at and len(w) == len(v))
+            out += [(q, i + 1, c, -s) for i, (s, c) in enumerate(scores[:k])]
+    return sorted(out)
 
 
 @pytest.mark.parametrize("scale", [1, 1 << 26])
@@ -133,13 +133,39 @@ def test_top_k_equals_brute_force(spark, scale, monkeypatch):
     pick = random.Random(4)
     vectors = {i: [pick.randint(-9, 9) * scale for _ in range(6)] for i in range(-100, 500)}
     vectors |= {i: [1 * scale] * 6 for i in range(500, 700)} | {1000: [1, 2], 1001: [3, 4], 1050: [], 1100: [1, 2, 3]}
-    rows = [*vectors.items(), (3, vectors[3]), (None, [1] * 6), (2000, None)]
-    df = spark.createDataFrame(rows, "vec_id bigint, vector array<bigint>").withColumn("score", F.lit("clash"))
-    got = defaultdict(list)
-    for r in top_k.top_k(df, F.col("vec_id") % 50 == 0).orderBy("query_id", "rank").collect():
-        got[r.query_id].append((r["rank"], r.vec_id, r.score))
-    assert dict(got) == plain_top(vectors)
-    assert top_k.top_k(df.limit(0), F.col("vec_id") % 50 == 0).collect() == []
+    # ids that come again, with the same vector and with others, also a query's
+    rows = [*vectors.items(), (3, vectors[3]), (3, [9 * scale] * 6), (50, [8 * scale] * 6), (50, vectors[50]), (1000, [5, 6])]
+    df = spark.createDataFrame([*rows, (None, [1] * 6), (2000, None)], "vec_id bigint, vector array<bigint>").withColumn("score", F.lit("clash"))
+    is_query = F.col("vec_id") % 50 == 0
+    got = [(r.query_id, r["rank"], r.vec_id, r.score) for r in top_k.top_k(df, is_query).collect()]
+    assert sorted(got) == plain_top(rows)
+    assert top_k.top_k(df.limit(0), is_query).collect() == []
+    assert top_k.blocks_scored(df.limit(0), is_query).first() == (0, 0)
+
+
+def test_top_k_leaves_blocks_out(spark, monkeypatch):
+    monkeypatch.setattr(top_k, "SHARD_ROWS", 256)
+    monkeypatch.setattr(top_k, "BLOCK_ROWS", 16)
+    pick = random.Random(5)
+    # eight directions: a query's own comes first, the bounds of the others stay below its fifth score
+    rows = [(i, [100 * (i % 8 == j) + pick.randint(0, 3) for j in range(8)]) for i in range(1024)]
+    df = spark.createDataFrame(rows, "vec_id bigint, vector array<bigint>")
+    scored, met = top_k.blocks_scored(df, F.col("vec_id") % 50 == 0).first()
+    assert met == 21 * 64 and scored < met / 2
+
+
+def test_top_k_sql_takes_repeated_ids(spark, tmp_path):
+    import duckdb
+
+    from holdshort.llm import queries
+
+    pick = random.Random(7)
+    rows = [(i % 70, [pick.uniform(-1, 1) for _ in range(4)]) for i in range(200)] + [(3, None), (None, [1.0] * 4), (4, [None] * 4)]
+    spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    ours = queries.op4_top_k(spark, str(tmp_path)).select("query_id", "rank", "vec_id", "score").collect()
+    assert sorted(map(tuple, ours)) == sorted(con.execute(f"SELECT query_id, rank, vec_id, score FROM ({queries.OP4_SQL})").fetchall())
 
 
 def test_quantised_vectors(spark):
