@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+import numpy as np
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
@@ -12,7 +13,7 @@ from holdshort.catalog.aggregates import rounded
 from holdshort.catalog.tables import table, wait_rows
 from holdshort.features import encoders, quantiles, splits
 from holdshort.functions.labels import day_off, wait_class
-from holdshort.models import bayes, classification, gram, regression, search
+from holdshort.models import bayes, classification, gram, posterior, regimes, regression, search
 from holdshort.operators import reports, statistics
 from holdshort.plans import training
 from holdshort.session import freeze
@@ -57,18 +58,18 @@ def _linear_fit_plain(spark, sf):
 
 @query("random_forest")
 def _forest(spark, sf):
-    return _fit_and_report(spark, sf, regression.random_forest("takeoff_time", numTrees=10, maxDepth=5))
+    return _fit_and_report(spark, sf, regression.random_forest("takeoff_time", numTrees=100, maxDepth=10))
 
 
 @query("boosted_trees")
 def _boosted(spark, sf):
-    return _fit_and_report(spark, sf, regression.boosted_trees("takeoff_time", maxIter=5, maxDepth=3, subsamplingRate=0.7))
+    return _fit_and_report(spark, sf, regression.boosted_trees("takeoff_time", maxIter=100, maxDepth=3, subsamplingRate=0.7))
 
 
 @query("ada_boost")
 def _ada(spark, sf):
     train, test = splits.time_split(encoded(spark, sf), CUT)
-    return scored_report(regression.ada_boost(train, "takeoff_time", rounds=4).transform(test))
+    return scored_report(regression.ada_boost(train, "takeoff_time", rounds=50).transform(test))
 
 
 @query("model_per_group")
@@ -87,6 +88,15 @@ def _two_regime(spark, sf):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+@query("two_regime_gated")
+def _two_regime_gated(spark, sf):
+    """Test rows reach a regime through a gate fitted on training rows, alone or weighted."""
+    train, test = splits.time_split(encoded(spark, sf), CUT)
+    model = regimes.gated_regimes(train, "takeoff_time", lambda: regression.linear_regression("takeoff_time", regParam=0.01))
+    hard, mixed = (scored_report(model.transform(test, weighted)).withColumn("routing", F.lit(name)) for weighted, name in ((False, "hard"), (True, "weighted")))
+    return hard.unionByName(mixed)
+
+
 #: Training grows by a year, the next year validates.
 YEARS = [(f"{y}-12-31", f"{y + 1}-01-01", f"{y + 1}-12-31") for y in range(1995, 2000)]
 
@@ -236,14 +246,28 @@ def _naive_bayes_parameters(spark, sf):
 def _logistic_binary(spark, sf):
     rows = class_rows(spark, sf).withColumn("label", day_off(holiday=F.col("is_holiday") == 1).cast("double"))
     train, test = splits.time_split(rows, CUT)
-    scored = classification.logistic_map(train, "label").transform(test)
-    area = reports.auc(scored.select(F.col("label").cast("int").alias("label"), vector_to_array("probability")[1].alias("score")))
+    score = posterior.logistic_posterior(train, "label").probability()
+    scored = freeze(test.withColumn("score", score).withColumn("prediction", (F.col("score") >= 0.5).cast("double")))
+    area = reports.auc(scored.select(F.col("label").cast("int").alias("label"), "score"))
     report = reports.classification_report(scored)
     return rounded(report.unionByName(area.select(F.lit("auc").alias("class"), F.col("auc").alias("precision"), F.col("auc").alias("recall"),
                                                   F.col("auc").alias("f1"), F.lit(0).cast("long").alias("support"))),
                    "precision", "recall", "f1", digits=4)
 
 
+@query("logistic_curvature", """WITH r AS (SELECT [1e0, (l_partkey % 120) / 120e0, (l_orderkey % 4) / 4e0] AS a FROM lineitem),
+w AS (SELECT a, 1 / (1 + exp(-(0.25e0 + 0.5e0 * a[2] - a[3]))) AS p FROM r)
+SELECT CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j, round(sum(p * (1 - p) * a[i + 1] * a[j + 1]), 4) AS value
+FROM w, unnest(generate_series(0, 2)) u(i), unnest(generate_series(0, 2)) v(j) GROUP BY ALL""")
+def _logistic_curvature(spark, sf):
+    """Curvature of the log-likelihood at given coefficients, from which the posterior's width comes."""
+    rows = wait_rows(spark, sf).select(array_to_vector(F.array(
+        F.col("time_since_last_event_seconds") / 120, F.col("last_min_takeoffs") / 4)).alias("features"))
+    found = posterior.curvature(rows, np.array([0.25, 0.5, -1.0]))
+    flat = [(i, j, float(found[i, j])) for i in range(3) for j in range(3)]
+    return rounded(spark.createDataFrame(flat, "i int, j int, value double"), "value", digits=4)
+
+
 @query("logistic_multi")
 def _logistic_multi(spark, sf):
     rows = table(spark, sf, "embeddings").select(F.col("label").cast("double").alias("label"), array_to_vector(F.col("embedding").cast("array<double>")).alias("features"),

@@ -10,9 +10,10 @@ from holdshort.catalog.cleaning import answer_sheet
 from holdshort.catalog.decoding import raw_frames
 from holdshort.catalog.sql import MSG
 from holdshort.catalog.tables import messages, pick, table
-from holdshort.operators import scenarios
+from holdshort.operators import decoding, scenarios
 from holdshort.session import scratch_path
 from holdshort.sources import readers, writers
+from holdshort.sources.rejects import split_rejects
 
 
 @query("scan_messages_csv", "SELECT 1700000000000 + event_id * 977 AS ts_kafka, CASE WHEN event_id % 50 = 0 THEN 13 WHEN event_id % 6 < 4 THEN 20 ELSE 12 END AS length FROM events")
@@ -71,6 +72,11 @@ def _transform_by_key_partition(spark, sf):
 
 @query("scan_meteo_csv", f"""SELECT epoch_us(date_trunc('hour', ts)) AS time, CAST(count(*) AS DOUBLE) AS "cloud_cover (%)", min(value) AS "temperature_2m (°C)" FROM events GROUP BY 1""")
 def _scan_meteo_csv(spark, sf):
+    rows = readers.scan_meteo_csv(spark, weather_files(spark, sf))
+    return rows.withColumn("time", F.unix_micros(F.col("time").cast("timestamp")))
+
+
+def weather_files(spark, sf):
     path = scratch_path(spark, "weather")
     hourly = table(spark, sf, "events").groupBy(F.date_trunc("hour", "ts").alias("t")).agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("v"))
     names = {"time": F.date_format("t", "yyyy-MM-dd'T'HH:mm"), "cloud_cover (%)": F.col("n").cast("string"), "temperature_2m (°C)": F.col("v").cast("string")}
@@ -80,12 +86,16 @@ def _scan_meteo_csv(spark, sf):
         head = spark.createDataFrame([
             (-3, "latitude,longitude"), (-2, "40.53,-3.56"), (-1, ""), (0, ",".join(order))], "k int, value string")
         head.unionByName(lines).repartition(1).sortWithinPartitions("k").select("value").write.mode("append").text(path)
-    return readers.scan_meteo_csv(spark, path).withColumn("time", F.unix_micros(F.col("time").cast("timestamp")))
+    return path
 
 
 @query("scan_aircraft_db", """SELECT printf('%X', c_custkey + 40960) AS icao24, 'Maker ' || (c_custkey % 7) AS manufacturerName, CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE 'M' || c_custkey END AS model,
   c_mktsegment AS operator, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_custkey % 4 + 1 END AS num_engines FROM customer""")
 def _scan_aircraft_db(spark, sf):
+    return readers.scan_aircraft_db(spark, registry_files(spark, sf))
+
+
+def registry_files(spark, sf):
     path = scratch_path(spark, "registry")
     k = F.col("c_custkey")
     quoted = lambda c: F.concat(F.lit("'"), c, F.lit("'"))
@@ -99,7 +109,26 @@ def _scan_aircraft_db(spark, sf):
     # lines with surplus and with missing fields do not count
     bad = ["'ffff01','1','Maker','M','op','x','y','z'", "'ffff02','1'"]
     spark.createDataFrame([(line,) for line in [",".join(rows.columns), *bad]], "value string").coalesce(1).write.mode("append").text(path)
-    return readers.scan_aircraft_db(spark, path)
+    return path
+
+
+@query("rejected_lines", """SELECT 'registry' AS source, 'fields' AS reason, 2 AS n, count(*) + 2 AS n_read, count(*) AS n_accepted FROM customer
+UNION ALL SELECT 'frames', 'frame', count(*) FILTER (WHERE event_id % 50 = 0), count(*), count(*) FILTER (WHERE event_id % 50 <> 0) FROM events
+UNION ALL SELECT 'weather', reason, n, (SELECT count(DISTINCT date_trunc('hour', ts)) + 6 FROM events), (SELECT count(DISTINCT date_trunc('hour', ts)) FROM events)
+  FROM (VALUES ('header', 2), ('time', 4)) h(reason, n)""")
+def _rejected_lines(spark, sf):
+    """Rejected rows by reason beside the rows read, as observed, and the accepted ones."""
+    from holdshort.catalog.decoding import decoded
+
+    parts = []
+    for source, marked in (("registry", readers.mark_aircraft_db(spark, registry_files(spark, sf))),
+                           ("weather", readers.mark_meteo_csv(spark, weather_files(spark, sf))),
+                           ("frames", decoding.mark_unreadable(decoded(spark, sf)))):
+        found = split_rejects(marked)
+        parts.append(found.rejected.groupBy("reason").agg(F.count(F.lit(1)).alias("n")).join(
+            F.broadcast(found.accepted.agg(F.count(F.lit(1)).alias("n_accepted")))).select(
+            F.lit(source).alias("source"), "reason", "n", F.lit(found.read).cast("long").alias("n_read"), "n_accepted"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 @query("scan_geojson", "SELECT 'P' || s_suppkey AS designator, CAST(s_nationkey AS VARCHAR) AS runway, round(s_suppkey / 8, 4) AS lon, round(s_suppkey / 4, 4) AS lat FROM supplier")

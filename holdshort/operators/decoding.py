@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from holdshort.functions import frames
 from holdshort.functions.timing import from_epoch_ms
+from holdshort.sources.rejects import LINE, REASON
 
 
 def decode_messages(raw: DataFrame, compat: bool = False, reference=None) -> DataFrame:
@@ -34,6 +35,11 @@ def decode_messages(raw: DataFrame, compat: bool = False, reference=None) -> Dat
     }).drop("_vel", "head", "me", "tc")
 
 
+def mark_unreadable(decoded: DataFrame) -> DataFrame:
+    """Decoded rows with `_reason` `frame` where the message could not be read, to be split by `split_rejects`."""
+    return decoded.withColumns({LINE: F.col("message"), REASON: F.when(F.col("hex").isNull(), "frame")})
+
+
 def decode_quality(decoded: DataFrame) -> DataFrame:
     """How many frames were read: rows, unreadable frames, and rows without a usable downlink format."""
     return decoded.agg(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from holdshort.schemas import RAW_MESSAGE
+from holdshort.sources.rejects import LINE, REASON
 
 
 def scan_messages_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -41,8 +42,13 @@ def scan_meteo_csv(spark: SparkSession, path: str, columns: Sequence[str] | None
 
     The header is the line with a field `time`; each file has its own, so files may differ in columns and their order, and
     a column that a file lacks is null there. Files are a bounded dimension (one row per hour): their names and headers
-    reach the driver. Lines above the header fail to parse as times and are dropped with it.
+    reach the driver. Lines above the header fail to parse as times and are dropped with it; `mark_meteo_csv` keeps them.
     """
+    return mark_meteo_csv(spark, path, columns).where(F.col(REASON).isNull()).drop(LINE, REASON)
+
+
+def mark_meteo_csv(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
+    """All lines of weather files that are not blank, with `_reason` for those without a time: `header`, else `time`."""
     if columns is not None:
         headers = {path: list(columns)}
     else:
@@ -54,9 +60,13 @@ def scan_meteo_csv(spark: SparkSession, path: str, columns: Sequence[str] | None
         files.setdefault(tuple(names), []).append(file)
     parts = []
     for names, paths in files.items():
-        schema = T.StructType([T.StructField(c, T.StringType() if c == "time" else T.DoubleType()) for c in names])
-        rows = spark.read.csv(paths, schema=schema, header=False, mode="PERMISSIVE")
-        parts.append(rows.withColumn("time", F.expr("try_to_timestamp(time)")).where("time IS NOT NULL"))
+        fields = [T.StructField(c, T.StringType() if c == "time" else T.DoubleType()) for c in names]
+        schema = T.StructType([*fields, T.StructField(LINE, T.StringType())])
+        rows = spark.read.option("columnPruning", "false").csv(
+            paths, schema=schema, header=False, mode="PERMISSIVE", columnNameOfCorruptRecord=LINE)
+        reason = F.when(F.col("time") == "time", "header").when(F.expr("try_to_timestamp(time)").isNull(), "time")
+        # the parser gives the line only if it cannot read all fields
+        parts.append(rows.withColumns({REASON: reason, LINE: F.coalesce(LINE, "time"), "time": F.expr("try_to_timestamp(time)")}))
     if not parts:
         raise ValueError(f"no line of {path} has a field named time")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
@@ -68,15 +78,22 @@ AIRCRAFT_COLUMNS = ["icao24", "engines", "manufacturerName", "model", "operator"
 
 def scan_aircraft_db(spark: SparkSession, path: str) -> DataFrame:
     """Aircraft registry with single-quoted names and values: quotes are stripped, an empty value is null, the first
-    character of `engines` gives the engine count, addresses are upper case, malformed lines are dropped."""
+    character of `engines` gives the engine count, addresses are upper case, malformed lines are dropped;
+    `mark_aircraft_db` keeps them."""
+    return mark_aircraft_db(spark, path).where(F.col(REASON).isNull()).drop(LINE, REASON)
+
+
+def mark_aircraft_db(spark: SparkSession, path: str) -> DataFrame:
+    """All lines of a registry, with `_reason` `fields` for those with too many or too few fields."""
     names = spark.read.csv(path, header=True, quote='"').columns
     fields = [T.StructField(c, T.StringType()) for c in [*names, "_malformed"]]
     # without pruning every field is parsed; otherwise a line with too many or too few fields passes if only some are read
     raw = spark.read.option("columnPruning", "false").csv(path, schema=T.StructType(fields), header=True, mode="PERMISSIVE", quote='"',
-                         columnNameOfCorruptRecord="_malformed").where("_malformed IS NULL").drop("_malformed")
-    rows = raw.toDF(*[c.replace("'", "") for c in raw.columns]).select(*AIRCRAFT_COLUMNS)
+                         columnNameOfCorruptRecord="_malformed")
+    rows = raw.toDF(*[c.replace("'", "") for c in names], LINE).select(*AIRCRAFT_COLUMNS, LINE)
     clean = rows.select(*[
-        F.when(F.col(c) != "''", F.regexp_replace(c, "'", "")).alias(c) for c in AIRCRAFT_COLUMNS])
+        F.when(F.col(c) != "''", F.regexp_replace(c, "'", "")).alias(c) for c in AIRCRAFT_COLUMNS],
+        LINE, F.when(F.col(LINE).isNotNull(), "fields").alias(REASON))
     count = F.regexp_extract(F.trim("engines"), r"^(\d)", 1)
     return clean.withColumns({
         "icao24": F.upper("icao24"), "num_engines": F.when(count != "", count.cast("int")),
