@@ -1,9 +1,13 @@
 """Exact nearest neighbours of dense vectors, split into blocks of bounded size.
 
 Equal vectors are merged first: of a group of copies only the few smallest ids can be anybody's neighbours. Distinct
-vectors are assigned to the nearest of a bounded number of pivots. A vector is compared with its own cell, and then only
-with cells that the triangle inequality does not rule out. Cells are cut into chunks and compared chunk by chunk with
-numpy; each comparison hands on k rows per vector, never all pairs.
+vectors are assigned to the nearest of a bounded number of pivots, so that a cell holds about a chunk of them. A vector is
+compared with its own cell, and then only with cells that the triangle inequality does not rule out. Cells are cut into
+chunks and compared chunk by chunk with numpy: a matrix product with a bound on its rounding errors rules pairs out, what
+is left is measured from differences. Each comparison hands on k rows per vector, never all pairs.
+
+Where the triangle inequality rules nothing out, as with many dimensions, the work is quadratic: every vector is sent to
+every chunk, and a task still holds two chunks and one slice of their products at a time.
 """
 
 from __future__ import annotations
@@ -11,7 +15,8 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,7 +24,10 @@ from holdshort.operators.spread import spread_join
 from holdshort.session import freeze
 
 MAX_PIVOTS = 2000
-CHUNK = 2000
+#: Vectors of a chunk at most, and bytes of its vectors.
+CHUNK, CHUNK_BYTES = 8192, 2**23
+#: Numbers of a slice of distances or products.
+SLICE = 1_000_000
 SALTS = 64
 
 
@@ -35,45 +43,83 @@ def _copies(rows: DataFrame, keep: int) -> DataFrame:
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """From differences, slice by slice: an expanded square would lose the digits of long vectors."""
-    step = max(1, 4_000_000 // max(1, b.size))
+    step = max(1, 4 * SLICE // max(1, b.size))
     return np.concatenate([np.sqrt(((a[i:i + step, None, :] - b[None]) ** 2).sum(2)) for i in range(0, max(1, len(a)), step)])
 
 
 def _matrix(column) -> np.ndarray:
-    return np.stack(column.to_numpy()).astype(float)
+    """Rows of a column of lists, which have one length."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    widths = pc.unique(pc.list_value_length(column)).to_pylist()
+    if len(widths) > 1:
+        raise ValueError(f"vectors of different lengths: {sorted(widths)}")
+    return column.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(column), widths[0] if widths else 0)
+
+
+def _candidates(a: np.ndarray, b: np.ndarray, limit: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places (in a, in b) of all pairs that can be among the `count` nearest of b and within the limit.
+
+    Squared distances come from a matrix product of the vectors less a common centre. Its rounding errors are below
+    `slack` times the sum of both squares; what is not a number counts as near.
+    """
+    centre = b.mean(0)
+    a, b = a - centre, b - centre
+    slack = 4 * (a.shape[1] + 8) * np.finfo(float).eps
+    aa, bb = (a * a).sum(1), (b * b).sum(1)
+    product = a @ b.T
+    bound = limit * limit * (1 + 1e-9)
+    if len(b) > count and not np.isfinite(bound).all():
+        kth = np.partition((1 + slack) / 2 * bb - product, count - 1, axis=1)[:, count - 1]
+        bound = np.fmin(bound, 2 * kth + (1 + slack) * aa)
+    product -= (1 - slack) / 2 * bb
+    return np.nonzero(~(product < (((1 - slack) * aa - bound) / 2)[:, None]))
+
+
+def _near(a: np.ndarray, b: np.ndarray, limit: np.ndarray, count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place in a, place in b, distance) of the `count` nearest of b within the limit, ties by place."""
+    found = []
+    step = max(1, SLICE // len(b))
+    for start in range(0, len(a), step):
+        part, most = a[start:start + step], limit[start:start + step]
+        with np.errstate(all="ignore"):
+            i, j = _candidates(part, b, most, count)
+            wide = max(1, SLICE // max(1, a.shape[1]))
+            d = np.concatenate([np.sqrt(((part[i[k:k + wide]] - b[j[k:k + wide]]) ** 2).sum(1)) for k in range(0, max(1, len(i)), wide)])
+        keep = ~(d > most[i])
+        i, j, d = i[keep], j[keep], d[keep]
+        order = np.lexsort((j, d, i))
+        i, j, d = i[order], j[order], d[order]
+        first = np.arange(len(i)) - np.searchsorted(i, i) < count
+        found.append((i[first] + start, j[first], d[first]))
+    return tuple(np.concatenate(x) for x in zip(*found))
 
 
 def _compare(count: int):
     """Block comparison: for each base vector the `count` nearest of the block, ties by id."""
-    def run(base: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"vid": pd.Series(dtype="int64"), "near": pd.Series(dtype="int64"), "dist": pd.Series(dtype="float64")})
-        if base.empty or rows.empty:
-            return empty
-        rows = rows.rename(columns={"vid_row": "vid", "vec_row": "vec"}).sort_values("vid")
-        a, b = _matrix(base["vec"]), _matrix(rows["vec"])
-        d = _distances(a, b)
-        best = np.argsort(d, axis=1, kind="stable")[:, :count]
-        return pd.DataFrame({
-            "vid": np.repeat(base["vid"].to_numpy(), best.shape[1]),
-            "near": rows["vid"].to_numpy()[best].ravel(),
-            "dist": np.take_along_axis(d, best, axis=1).ravel(),
-        })
+    def run(base: pa.Table, rows: pa.Table) -> pa.Table:
+        if not base.num_rows or not rows.num_rows:
+            return pa.table({"vid": pa.array([], pa.int64()), "near": pa.array([], pa.int64()), "dist": pa.array([], pa.float64())})
+        rows = rows.sort_by("vid_row")
+        limit = pc.fill_null(base["limit"], math.inf).to_numpy()
+        i, j, d = _near(_matrix(base["vec"]), _matrix(rows["vec_row"]), limit, count)
+        return pa.table({"vid": base["vid"].to_numpy()[i], "near": rows["vid_row"].to_numpy()[j], "dist": d})
     return run
 
 
 def _blocks(base: DataFrame, rows: DataFrame, count: int, chunk: int) -> DataFrame:
-    """Compare base vectors with the rows of the same (grp, cell), chunk against chunk."""
+    """Compare base vectors (vid, grp, cell, limit) with the rows of the same (grp, cell), chunk against chunk."""
     cell = ["grp", "cell"]
     pieces = lambda df, name: df.groupBy(*cell).agg(F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias(name))
     both = pieces(base, "_nb").join(pieces(rows, "_nr"), cell)
     at = lambda n: F.pmod(F.xxhash64("vid"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = base.join(both, cell).withColumn("b", at("_nb")).withColumn("r", every("_nr")).select("vid", "vec", *cell, "b", "r")
+    left = base.join(both, cell).withColumn("b", at("_nb")).withColumn("r", every("_nr")).select("vid", "limit", *cell, "b", "r")
+    left = left.join(rows.select("vid", "vec"), "vid")
     right = rows.join(both, cell).withColumn("r", at("_nr")).withColumn("b", every("_nb")).select("vid", "vec", *cell, "b", "r")
     keys = [*cell, "b", "r"]
     # both sides may come from one table: fresh names keep them apart
     right = right.toDF(*[f"{c}_row" for c in right.columns])
-    return left.groupBy(*keys).cogroup(right.groupBy(*[f"{c}_row" for c in keys])).applyInPandas(_compare(count), "vid long, near long, dist double")
+    return left.groupBy(*keys).cogroup(right.groupBy(*[f"{c}_row" for c in keys])).applyInArrow(_compare(count), "vid long, near long, dist double")
 
 
 def _top(found: DataFrame, count: int) -> DataFrame:
@@ -81,8 +127,29 @@ def _top(found: DataFrame, count: int) -> DataFrame:
     return found.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= count).drop("_r")
 
 
+def _asking(cells: dict, centres: np.ndarray):
+    """The cells that each vector of a batch has to ask, without the vector; rows of one batch at most are made at once.
+
+    `cells` has the numbers and radii of the cells of a group.
+    """
+    def run(batches):
+        for batch in batches:
+            groups = np.array(batch.column("grp").to_pylist(), dtype=object)
+            for grp in dict.fromkeys(groups):
+                part = batch.take(pa.array(np.flatnonzero(groups == grp)))
+                ids, radius = cells[grp]
+                gap = _distances(_matrix(part.column("vec")), centres[ids]) - radius[None, :]
+                limit = pc.fill_null(part.column("limit"), math.inf).to_numpy()[:, None]
+                hit = ~(gap > limit * (1 + 1e-9) + 1e-6) & (ids[None, :] != part.column("cell").to_numpy()[:, None])
+                for k in np.flatnonzero(hit.any(0)):
+                    out = part.take(pa.array(np.flatnonzero(hit[:, k]))).select(["vid", "grp", "limit"])
+                    yield pa.RecordBatch.from_arrays([*out.columns, pa.array(np.full(out.num_rows, ids[k]), pa.int32())],
+                                                     [*out.schema.names, "cell"])
+    return run
+
+
 def nearest_neighbours(rows: DataFrame, k: int, id: str, vector: str, within: str | None = None,
-                       pivots: int | None = None, chunk: int = CHUNK, seed: int = 22) -> DataFrame:
+                       pivots: int | None = None, chunk: int | None = None, seed: int = 22) -> DataFrame:
     """(id, neighbour, distance, rank): the k nearest other rows of each row, ties by id; `within` keeps to one label.
 
     `id` is a unique integer, `vector` an array of numbers. Rows with a null vector, or one with a null component, take no
@@ -93,21 +160,25 @@ def nearest_neighbours(rows: DataFrame, k: int, id: str, vector: str, within: st
     plain = rows.where(whole).select(F.col(id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("vec"), group.alias("grp"))
     count = k + 1
     distinct = freeze(_copies(plain, count))
-    n = distinct.count()
-    wanted = pivots or max(1, min(MAX_PIVOTS, math.isqrt(n)))
+    n, width = distinct.agg(F.count(F.lit(1)), F.max(F.size("vec"))).first()
+    chunk = chunk or max(256, min(CHUNK, CHUNK_BYTES // (8 * max(1, width or 0))))
+    wanted = pivots or max(1, min(MAX_PIVOTS, math.ceil(n / chunk)))
     chosen = distinct.orderBy(F.xxhash64(F.lit(seed), "vid")).limit(wanted).select("vec").collect()
     centres = np.array([r.vec for r in chosen], dtype=float)
+    # a frozen table has few pieces for its bytes, but each of its rows is compared with many
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def assign(batches):
-        for pdf in batches:
-            if len(pdf):
-                d = _distances(_matrix(pdf["vec"]), centres)
-                pdf["cell"] = d.argmin(1).astype("int32")
-                pdf["far"] = d.min(1)
-                yield pdf
+        for batch in batches:
+            if batch.num_rows:
+                d = _distances(_matrix(batch.column("vec")), centres)
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(d.argmin(1), pa.int32()), pa.array(d.min(1))],
+                                                 [*batch.schema.names, "cell", "far"])
 
-    placed = freeze(distinct.select("vid", "vec", "grp").mapInPandas(assign, "vid long, vec array<double>, grp string, cell int, far double"))
-    own = freeze(_top(_blocks(placed, placed, count, chunk), count))
+    spread = distinct.select("vid", "vec", "grp").repartition(parts, "vid")
+    placed = freeze(spread.mapInArrow(assign, "vid long, vec array<double>, grp string, cell int, far double"))
+    no_limit = F.lit(None).cast("double").alias("limit")
+    own = freeze(_top(_blocks(placed.select("vid", "grp", "cell", no_limit), placed, count, chunk), count))
 
     # at most labels x pivots rows
     reach = placed.groupBy("grp", "cell").agg(F.max("far").alias("far")).collect()
@@ -116,23 +187,9 @@ def nearest_neighbours(rows: DataFrame, k: int, id: str, vector: str, within: st
         cells.setdefault(r.grp, []).append((r.cell, r.far))
     cells = {g: (np.array([c for c, _ in v]), np.array([f for _, f in v])) for g, v in cells.items()}
 
-    def others(batches):
-        for pdf in batches:
-            out = []
-            for grp, part in pdf.groupby("grp"):
-                ids, radius = cells[grp]
-                gap = _distances(_matrix(part["vec"]), centres[ids]) - radius[None, :]
-                limit = part["limit"].fillna(np.inf).to_numpy()[:, None]
-                hit = (gap <= limit * (1 + 1e-9) + 1e-6) & (ids[None, :] != part["cell"].to_numpy()[:, None])
-                i, j = np.nonzero(hit)
-                out.append(pd.DataFrame({"vid": part["vid"].to_numpy()[i], "vec": part["vec"].to_numpy()[i],
-                                         "grp": grp, "cell": ids[j].astype("int32")}))
-            if out:
-                yield pd.concat(out)
-
     limits = own.groupBy("vid").agg(F.count(F.lit(1)).alias("_n"), F.max("dist").alias("_d")).select(
         "vid", F.when(F.col("_n") >= count, F.col("_d")).alias("limit"))
-    asking = placed.join(limits, "vid").mapInPandas(others, "vid long, vec array<double>, grp string, cell int")
+    asking = freeze(placed.join(limits, "vid", "left").repartition(parts, "vid").mapInArrow(_asking(cells, centres), "vid long, grp string, limit double, cell int"))
     near = _top(own.unionByName(_blocks(asking, placed, count, chunk)), count)
 
     # back from distinct vectors to ids: at most count x count per vector

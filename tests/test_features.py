@@ -33,6 +33,55 @@ def test_neighbours_equal_brute_force_with_copies(spark, pivots, chunk):
         assert found == brute_neighbours(points, 4, labels if within else None)
 
 
+def test_neighbour_search_hands_on_bounded_pieces():
+    """Random vectors rule no cell out: each asks every cell, which must not be one table of all vectors times all cells."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from holdshort.features import neighbours
+
+    rnd = np.random.default_rng(4)
+    a, centres = rnd.normal(size=(2000, 64)), rnd.normal(size=(200, 64))
+    vec = lambda x: pa.array(list(x))
+    batch = pa.RecordBatch.from_pydict({"vid": np.arange(2000), "vec": vec(a), "grp": [""] * 2000, "cell": pa.array(np.zeros(2000), pa.int32()),
+                                        "limit": pa.nulls(2000, pa.float64())})
+    tracemalloc.start()
+    asked = 0
+    for out in neighbours._asking({"": (np.arange(200), np.full(200, 9.0))}, centres)([batch]):
+        assert out.num_rows <= 2000 and "vec" not in out.schema.names
+        asked += out.num_rows
+    assert asked == 2000 * 199
+
+    rows = pa.table({"vid_row": np.arange(5000), "vec_row": vec(rnd.normal(size=(5000, 64)) + 1e5)})
+    base = pa.table({"vid": np.arange(2000), "vec": vec(a + 1e5), "limit": pa.nulls(2000, pa.float64())})
+    found = neighbours._compare(3)(base, rows)
+    assert tracemalloc.get_traced_memory()[1] < 150e6
+    tracemalloc.stop()
+    x, y = (neighbours._matrix(t) for t in (base["vec"], rows["vec_row"]))
+    d = np.stack([np.sqrt(((y - p) ** 2).sum(1)) for p in x[:50]])
+    assert found["near"].to_numpy()[:150].reshape(50, 3).tolist() == np.argsort(d, axis=1, kind="stable")[:, :3].tolist()
+
+
+@pytest.mark.parametrize("name", ["edited", "smote", "both"])
+def test_resampling_with_more_vectors_than_a_chunk(spark, monkeypatch, name):
+    from holdshort.features import neighbours
+
+    monkeypatch.setattr(neighbours, "CHUNK_BYTES", 0)  # chunks of 256
+    rnd = np.random.default_rng(6)
+    points = {i: [float(x) for x in rnd.normal(size=8)] for i in range(700)}
+    df = spark.createDataFrame([(i, int(i % 5 == 0), p) for i, p in points.items()], "i long, y int, v array<double>")
+    if name == "edited":
+        near = brute_neighbours(points, 3)
+        assert {r.i for r in resampling.edited_neighbours(df, "y", "i", "v").collect()} == {
+            i for i in points if all(j % 5 == 0 for j in near[i]) == (i % 5 == 0) == any(j % 5 == 0 for j in near[i])}
+    elif name == "smote":
+        made = resampling.smote(df, "y", "i", "v").where("synthetic").collect()
+        assert len(made) == 420 and all(r.y == 1 for r in made)
+    else:
+        assert 0 < resampling.smote_enn(df, "y", "i", "v").count() < 1120
+
+
 def test_smote_fills_classes_between_neighbours(spark):
     rows = [(i, 0, [float(i), 0.0]) for i in range(20)] + [(100 + i, 1, [50.0 + i, 1.0]) for i in range(5)] + [(200, 2, [9.0, 9.0])]
     out = resampling.smote(spark.createDataFrame(rows, "i long, y int, v array<double>"), "y", "i", "v", k=2).collect()
