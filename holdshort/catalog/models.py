@@ -15,6 +15,7 @@ from holdshort.features import encoders, quantiles, splits
 from holdshort.functions.labels import day_off, wait_class
 from holdshort.models import bayes, classification, gram, posterior, regimes, regression, search
 from holdshort.operators import reports, statistics
+from holdshort.operators.spread import even_pieces
 from holdshort.plans import training
 from holdshort.session import freeze
 
@@ -24,11 +25,12 @@ CUT = "2001-01-01"
 
 def encoded(spark, sf):
     """Wait rows with a feature vector; the encoder is fitted on the training period only. Fits read it many times, so
-    it is written once."""
+    it is written once, in even pieces: each pass over a piece is one task."""
     rows = encoders.booleans_to_int(wait_rows(spark, sf)).drop("prediction")
     train, _ = splits.time_split(rows, CUT)
     model = encoders.feature_pipeline_lr(["runway", "holding_point", "weekday"], NUMERIC, ["is_holiday"]).fit(train)
-    return freeze(model.transform(rows).select("timestamp", "runway", "holding_point", "takeoff_time", "features"))
+    dealt = even_pieces(rows.select("timestamp", "runway", "holding_point", "weekday", "takeoff_time", "is_holiday", *NUMERIC))
+    return freeze(model.transform(dealt).select("timestamp", "runway", "holding_point", "takeoff_time", "features"))
 
 
 def scored_report(scored):

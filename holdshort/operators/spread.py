@@ -9,6 +9,7 @@ Two ideas are used throughout the library:
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -20,6 +21,8 @@ from holdshort.session import freeze
 
 SPLITS = 32
 SLOT_S = 3600
+#: Rows of a piece of a table that fits read many times: some 200 MB as a tree's bins.
+PIECE_ROWS = 500_000
 
 
 def spread_join(big: DataFrame, small: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
@@ -41,6 +44,16 @@ def spread_join(big: DataFrame, small: DataFrame, on: Sequence[str], how: str =
     return dealt.join(repeated, [*on, "_split"], how).drop("_split")
 
 
+def even_pieces(rows: DataFrame, piece_rows: int = PIECE_ROWS) -> DataFrame:
+    """Deal rows evenly, in pieces of at most about `piece_rows`, and at least one for each core.
+
+    The pieces of a scan follow the files: one small file is one task, and a large one's pieces grow when its columns are
+    widened to vectors.
+    """
+    parts = max(rows.sparkSession.sparkContext.defaultParallelism, math.ceil(rows.count() / piece_rows))
+    return rows.repartition(parts)
+
+
 def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     """Inner equi-join in which null keys match each other."""
     renamed = right.withColumnsRenamed({c: f"_right_{c}" for c in on})

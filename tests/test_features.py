@@ -192,6 +192,16 @@ def test_grid_search_prefers_the_better_setting(line):
     assert best == {"regParam": 0.001} and results[1]["val_rmse"] < 0.1
 
 
+def test_fits_read_even_pieces(spark):
+    from holdshort.catalog import models
+    from holdshort.operators.spread import even_pieces
+
+    rows = even_pieces(spark.range(1000).coalesce(1), 100)
+    sizes = rows.groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) == 10 and max(r["count"] for r in sizes) <= 110
+    assert models.encoded(spark, "/root/testdata/sf0.001").rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
 def test_tree_ensembles_fit_a_line(line):
     for scored in (
         regression.ada_boost(line, "takeoff_time", rounds=5, max_depth=5).transform(line),
