@@ -170,7 +170,7 @@ def _quantile_by_fold(spark, sf):
 
 @query("training_plan")
 def _training_plan(spark, sf):
-    rows = freeze(encoders.booleans_to_int(wait_rows(spark, sf)).drop("prediction"))
+    rows = freeze(even_pieces(encoders.booleans_to_int(wait_rows(spark, sf)).drop("prediction")))
     encoder = encoders.feature_pipeline_lr(["runway", "holding_point", "weekday"], NUMERIC, ["is_holiday"])
     trained = training.train(rows, CUT, YEARS, encoder, lambda **p: regression.linear_regression("takeoff_time", **p),
                              search.param_grid(**regression.LINEAR_GRID))

@@ -14,7 +14,9 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.base import Estimator
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -190,6 +192,45 @@ class Folds:
         return out
 
 
+def serves(estimator: Estimator, target: str) -> bool:
+    """Whether models from sums stand for the estimator's: least squares with default scaling, run until they are still."""
+    return (isinstance(estimator, LinearRegression) and estimator.getLoss() == "squaredError" and estimator.getFitIntercept()
+            and estimator.getStandardization() and not estimator.isDefined("weightCol") and estimator.getLabelCol() == target
+            and estimator.getMaxIter() >= 50)
+
+
+def split_errors(train: DataFrame, validation: DataFrame, target: str, settings: Sequence[LinearRegression]) -> list[dict]:
+    """train_mae, train_rmse, val_mae and val_rmse of each setting fitted on the training rows, from two passes over both."""
+    features = settings[0].getFeaturesCol()
+    width = len(first[0]) if (first := train.select(vector_to_array(features)).first()) else 0
+    part = lambda df, number: df.where(F.col(target).isNotNull()).select(
+        F.lit(number).alias("piece"), F.col(target).cast("double").alias("y"), vector_to_array(features).alias("x"))
+    rows, size = part(train, 0).unionAll(part(validation, 1)), width + 2
+
+    def products(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        z = np.column_stack([np.ones(len(y)), y, x])
+        return (z.T @ z).ravel()
+
+    found = piece_sums(rows, size * size, products)
+    if 0 not in found:
+        raise ValueError("a fold has no training rows")
+    grams = [Gram(found.get(i, np.zeros(size * size)).reshape(size, size)) for i in (0, 1)]
+    penalties = [(s.getRegParam(), s.getElasticNetParam()) for s in settings]
+    fitted = {p: grams[0].fit(*p) for p in dict.fromkeys(penalties)}
+    weights = np.column_stack([np.append(b, a) for b, a in fitted.values()])
+
+    def misses(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        return np.abs(x @ weights[:-1] + weights[-1] - y[:, None]).sum(0)
+
+    sums, at, out = piece_sums(rows, len(fitted), misses), {p: i for i, p in enumerate(fitted)}, []
+    for penalty in penalties:
+        out.append({})
+        for i, name in enumerate(("train", "val")):
+            out[-1][f"{name}_mae"] = float(sums[i][at[penalty]]) / grams[i].n if grams[i].n else None
+            out[-1][f"{name}_rmse"] = grams[i].rmse(*fitted[penalty])
+    return out
+
+
 def best_setting(results: Sequence[dict], metric: str = "val_rmse") -> dict:
     """The setting with the smallest mean error over the folds that have validation rows; the first of equals."""
     errors: dict[tuple, list[float]] = {}

@@ -192,6 +192,27 @@ def test_grid_search_prefers_the_better_setting(line):
     assert best == {"regParam": 0.001} and results[1]["val_rmse"] < 0.1
 
 
+def test_linear_grid_needs_no_fit_per_setting(line, monkeypatch):
+    from pyspark.ml.regression import LinearRegression
+
+    train, validation = line.where("x < 15"), line.where("x >= 12")
+    grid = search.param_grid(regParam=[0.01, 1.0], elasticNetParam=[0.0, 0.5], maxIter=[50, 100])
+    make = lambda **p: regression.linear_regression("takeoff_time", **p)
+    want = []
+    for p in grid[::2]:
+        model = make(**p).fit(train)
+        want.append([x for part in (train, validation) for x in search.regression_errors(model.transform(part), "takeoff_time")])
+
+    def refuse(*_):
+        raise AssertionError("a setting was fitted by itself")
+
+    monkeypatch.setattr(LinearRegression, "fit", refuse)
+    _, got = search.grid_search(make, grid, [(train, validation)], "takeoff_time")
+    for p, errors in zip(grid[::2], want):
+        row = next(r for r in got if r["params"] == p)
+        assert [row[e] for e in ("train_mae", "train_rmse", "val_mae", "val_rmse")] == pytest.approx(errors, abs=1e-4)
+
+
 def test_fits_read_even_pieces(spark):
     from holdshort.catalog import models
     from holdshort.operators.spread import even_pieces
