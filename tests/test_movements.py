@@ -105,6 +105,60 @@ def test_rolling_prior_mean_equals_brute_force(table):
         assert [got[row[:3]] for row in rows] == naive_prior_mean(rows)
 
 
+def test_rolling_prior_mean_makes_lists_only_where_entries_change(table, monkeypatch):
+    """Many messages of few flights: what is numbered is bounded by the flights' entries, not by the messages."""
+    numbered, original = [], spread.number_rows
+
+    def counted(df, *args, **kwargs):
+        numbered.append(df.count())
+        return original(df, *args, **kwargs)
+
+    monkeypatch.setattr(prior_waits, "number_rows", counted)
+    for standins in (False, True):
+        # with stand-ins, the sixth message counts first, then the fifth, and so on up to the first
+        rows = [(80.0 * i + 3 * f, f"C{f}", "r", 600.0 - 100 * i if standins and i < 5 else 60.0) for f in range(6) for i in range(200)]
+        df = table(rows, "ts ts, callsign string, runway string, takeoff_time double")
+        got = {(round(seconds(r, "ts"), 1), r.callsign): round(r.prediction, 6) for r in prior_waits.rolling_prior_mean(df).collect()}
+        assert [got[row[:2]] for row in rows] == naive_prior_mean(rows)
+        entries = 36 if standins else 6
+        assert numbered.pop() <= 3 * entries < len(rows) / 10
+
+
+def brute_prior_mean(rows, last):
+    out = []
+    for t, c, r, _ in rows:
+        seen = {}
+        for u, c2, r2, w2 in sorted(rows):
+            if r2 == r and c2 != c and u < t and u + w2 < t and u // 86400 == t // 86400:
+                seen.setdefault(c2, (u, c2, w2))
+        best = sorted(seen.values(), reverse=True)[:last]
+        out.append(round(sum(x[2] for x in best) / len(best), 6) if best else 170.0)
+    return out
+
+
+def test_rolling_prior_mean_spans_slots_days_and_ties(table):
+    """Stand-ins over many slots, waits past midnight, equal instants, repeated rows and waits below zero."""
+    rnd = random.Random(5)
+    for flights, waits in ((4, (1, 20_000)), (12, (-300, 900)), (3, (1, 200))):
+        rows = [(float(rnd.randrange(70_000, 110_000, 50)), f"C{rnd.randrange(flights)}", rnd.choice(["r1", "r2"]), float(rnd.randint(*waits)))
+                for _ in range(300)]
+        rows += rows[:20]
+        df = table(rows, "ts ts, callsign string, runway string, takeoff_time double")
+        for last in (1, 3):
+            out = prior_waits.rolling_prior_mean(df, last=last, slot_s=600)
+            got = sorted((seconds(r, "ts"), r.callsign, r.runway, r.takeoff_time, round(r.prediction, 6)) for r in out.collect())
+            assert got == sorted((*row, mean) for row, mean in zip(rows, brute_prior_mean(rows, last)))
+
+
+def test_rolling_prior_mean_keeps_rows_without_keys(table):
+    rows = [(10.0, "A", "r", 5.0), (100.0, "B", "r", None), (100.0, None, "r", 1.0), (100.0, "A", "r", 50.0),
+            (100.0, "B", None, 1.0), (None, "B", "r", 1.0), (200.0, "C", "r", 9.0)]
+    df = table(rows, "ts ts, callsign string, runway string, takeoff_time double")
+    got = [r.prediction for r in prior_waits.rolling_prior_mean(df, slot_s=60).orderBy("ts", "runway", "callsign").collect()]
+    # no time; A at 10; no runway; no callsign, A at 100, B at 100; C
+    assert got == [170.0, 170.0, 170.0, 5.0, 170.0, 5.0, 5.0]
+
+
 def test_centre_of_the_airport_is_inside(spark):
     from holdshort import airport
     row = spark.createDataFrame([airport.CENTRE], "lat double, lon double").select(geo.within_airport("lat", "lon").alias("x"), geo.great_circle_m("lat", "lon", "lat", "lon").alias("d")).first()
