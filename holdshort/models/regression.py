@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from holdshort.features.splits import split_by_quantile
+from holdshort.models.trees import HistogramBoosting, HistogramForest
 from holdshort.session import freeze
 
 # Parameter grids of the published runs.
@@ -31,7 +32,7 @@ def linear_regression(target: str, features: str = "features", **params) -> Line
 
 
 def random_forest(target: str, features: str = "features", seed: int = 22, **params) -> RandomForestRegressor:
-    return RandomForestRegressor(featuresCol=features, labelCol=target, seed=seed, **params)
+    return HistogramForest(featuresCol=features, labelCol=target, seed=seed, **params)
 
 
 def boosted_trees(target: str, features: str = "features", seed: int = 22, **params) -> GBTRegressor:

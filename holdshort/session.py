@@ -50,6 +50,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a scratch path before the session's process ends."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def freeze(df: DataFrame) -> DataFrame:
     """Write a table that several branches read to the shared folder, and go on from the copy."""
     shared_dir(df.sparkSession)
