@@ -8,9 +8,7 @@ from dataclasses import dataclass
 import math
 
 from pyspark.ml.base import Estimator
-from pyspark.ml.regression import (
-    DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor,
-)
+from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,7 +34,7 @@ def random_forest(target: str, features: str = "features", seed: int = 22, **par
 
 
 def boosted_trees(target: str, features: str = "features", seed: int = 22, **params) -> GBTRegressor:
-    return GBTRegressor(featuresCol=features, labelCol=target, seed=seed, **params)
+    return HistogramBoosting(featuresCol=features, labelCol=target, seed=seed, **params)
 
 
 def top_features(spark, names: Sequence[str], weights: Sequence[float], k: int = 20) -> DataFrame:
