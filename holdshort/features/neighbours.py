@@ -4,10 +4,11 @@ Equal vectors are merged first: of a group of copies only the few smallest ids c
 vectors are assigned to the nearest of a bounded number of pivots, so that a cell holds about a chunk of them. A vector is
 compared with its own cell, and then only with cells that the triangle inequality does not rule out. Cells are cut into
 chunks and compared chunk by chunk with numpy: a matrix product with a bound on its rounding errors rules pairs out, what
-is left is measured from differences. Each comparison hands on k rows per vector, never all pairs.
+is left is measured from differences. Pairs of chunks are read from frozen tables and not shuffled; a vector hands on k
+rows per `RIGHT` chunks at most, never all pairs.
 
-Where the triangle inequality rules nothing out, as with many dimensions, the work is quadratic: every vector is sent to
-every chunk, and a task still holds two chunks and one slice of their products at a time.
+Where the triangle inequality rules nothing out, as with many dimensions, the work is quadratic: every chunk meets every
+other. A task still holds `RIGHT` chunks and, in Python, two of them and one slice of their products at a time.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ CHUNK, CHUNK_BYTES = 8192, 2**23
 #: Numbers of a slice of distances or products.
 SLICE = 1_000_000
 SALTS = 64
+#: Chunks that a task holds to compare others with.
+RIGHT = 16
 
 
 def _copies(rows: DataFrame, keep: int) -> DataFrame:
@@ -106,20 +109,101 @@ def _compare(count: int):
     return run
 
 
-def _blocks(base: DataFrame, rows: DataFrame, count: int, chunk: int) -> DataFrame:
-    """Compare base vectors (vid, grp, cell, limit) with the rows of the same (grp, cell), chunk against chunk."""
-    cell = ["grp", "cell"]
-    pieces = lambda df, name: df.groupBy(*cell).agg(F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias(name))
-    both = pieces(base, "_nb").join(pieces(rows, "_nr"), cell)
-    at = lambda n: F.pmod(F.xxhash64("vid"), F.col(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = base.join(both, cell).withColumn("b", at("_nb")).withColumn("r", every("_nr")).select("vid", "limit", *cell, "b", "r")
-    left = left.join(rows.select("vid", "vec"), "vid")
-    right = rows.join(both, cell).withColumn("r", at("_nr")).withColumn("b", every("_nb")).select("vid", "vec", *cell, "b", "r")
-    keys = [*cell, "b", "r"]
-    # both sides may come from one table: fresh names keep them apart
-    right = right.toDF(*[f"{c}_row" for c in right.columns])
-    return left.groupBy(*keys).cogroup(right.groupBy(*[f"{c}_row" for c in keys])).applyInArrow(_compare(count), "vid long, near long, dist double")
+def _lists(matrix: np.ndarray) -> pa.Array:
+    """A column of lists from rows of a matrix."""
+    offsets = pa.array(np.arange(len(matrix) + 1, dtype=np.int32) * matrix.shape[1], pa.int32())
+    return pa.ListArray.from_arrays(offsets, pa.array(matrix.reshape(-1)))
+
+
+def _chunk(rows: pa.Table) -> pa.Table:
+    """The vectors of one (grp, cell, part) as one row."""
+    rows = rows.sort_by("vid")
+    return pa.table({"grp": rows["grp"][:1], "cell": rows["cell"][:1], "part": rows["part"][:1],
+                     "vids": pa.array([rows["vid"].to_numpy().tobytes()], pa.binary()),
+                     "vecs": pa.array([_matrix(rows["vec"]).tobytes()], pa.binary())})
+
+
+CHUNKS = "grp string, cell int, part int, vids binary, vecs binary"
+FOUND = "vid long, near long, dist double"
+
+
+class _Left:
+    """A chunk whose vectors look for neighbours, with the nearest that they have found and how far they still look."""
+
+    def __init__(self, vids, vecs, limits, count: int):
+        self.vids, self.count = np.frombuffer(vids, np.int64), count
+        self.vecs = np.frombuffer(vecs).reshape(len(self.vids), -1)
+        self.limits = np.full(len(self.vids), np.inf) if limits is None else np.frombuffer(limits).copy()
+        self.found = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+
+    def batch(self, grp: str, cell: int) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(self.vids), _lists(self.vecs), pa.array([grp] * len(self.vids), pa.string()),
+             pa.array(self.limits), pa.array(np.full(len(self.vids), cell, np.int32))], ["vid", "vec", "grp", "limit", "cell"])
+
+    def compare(self, vids, vecs, at: np.ndarray | None = None) -> None:
+        """Look among the vectors of a chunk, for all or for the vectors at some places."""
+        at = np.arange(len(self.vids)) if at is None else at
+        vids = np.frombuffer(vids, np.int64)
+        base = pa.table({"vid": at, "vec": _lists(self.vecs[at]), "limit": self.limits[at]})
+        rows = pa.table({"vid_row": vids, "vec_row": _lists(np.frombuffer(vecs).reshape(len(vids), -1))})
+        new = _compare(self.count)(base, rows)
+        i, near, dist = (np.concatenate([old, new[c].to_numpy()]) for old, c in zip(self.found, ("vid", "near", "dist")))
+        order = np.lexsort((near, dist, i))
+        i, near, dist = i[order], near[order], dist[order]
+        rank = np.arange(len(i)) - np.searchsorted(i, i)
+        first, last = rank < self.count, rank == self.count - 1
+        self.found = i[first], near[first], dist[first]
+        self.limits[i[last]] = np.fmin(self.limits[i[last]], dist[last])
+
+    def packed(self) -> tuple[bytes, bytes, bytes]:
+        i, near, dist = self.found
+        return self.vids[i].tobytes(), near.tobytes(), dist.tobytes()
+
+
+def _own(count: int, cells: dict, centres: np.ndarray):
+    """Chunks with what their vectors find in the chunk itself, and the other cells that any of them has to ask."""
+    def run(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                left = _Left(row["vids"], row["vecs"], None, count)
+                left.compare(row["vids"], row["vecs"])
+                asks = sorted({b.column("cell")[0].as_py() for b in _asking(cells, centres)([left.batch(row["grp"], row["cell"])])})
+                found = left.packed()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([x], t) for x, t in zip((*row.values(), left.limits.tobytes(), asks, *found),
+                                                     (pa.string(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary(),
+                                                      pa.list_(pa.int32()), pa.binary(), pa.binary(), pa.binary()))],
+                    [*row, "limits", "asks", "vid", "near", "dist"])
+    return run
+
+
+def _others(count: int, cells: dict, centres: np.ndarray):
+    """What each left chunk finds in the other chunks, of which one at a time is read; pairs of a chunk stand together."""
+    def run(pairs):
+        key, left = None, None
+        for pair in pairs:
+            if key != (pair.grp, pair.cell, pair.part):
+                if left is not None:
+                    yield left.packed()
+                key, left = (pair.grp, pair.cell, pair.part), _Left(pair.vids, pair.vecs, pair.limits, count)
+            if pair.cell_row == pair.cell:
+                left.compare(pair.vids_row, pair.vecs_row)
+                continue
+            ids, radius = cells[pair.grp]
+            one = ids == pair.cell_row
+            for asking in _asking({pair.grp: (ids[one], radius[one])}, centres)([left.batch(pair.grp, pair.cell)]):
+                left.compare(pair.vids_row, pair.vecs_row, np.searchsorted(left.vids, asking.column("vid").to_numpy()))
+        if left is not None:
+            yield left.packed()
+    return run
+
+
+def _unpack(batches):
+    for batch in batches:
+        for vid, near, dist in zip(*batch.columns):
+            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(x.as_py(), t)) for x, t in ((vid, np.int64), (near, np.int64), (dist, float))],
+                                             ["vid", "near", "dist"])
 
 
 def _top(found: DataFrame, count: int) -> DataFrame:
@@ -177,20 +261,33 @@ def nearest_neighbours(rows: DataFrame, k: int, id: str, vector: str, within: st
 
     spread = distinct.select("vid", "vec", "grp").repartition(parts, "vid")
     placed = freeze(spread.mapInArrow(assign, "vid long, vec array<double>, grp string, cell int, far double"))
-    no_limit = F.lit(None).cast("double").alias("limit")
-    own = freeze(_top(_blocks(placed.select("vid", "grp", "cell", no_limit), placed, count, chunk), count))
 
     # at most labels x pivots rows
-    reach = placed.groupBy("grp", "cell").agg(F.max("far").alias("far")).collect()
+    reach = placed.groupBy("grp", "cell").agg(F.max("far").alias("far"), F.count(F.lit(1)).alias("n")).collect()
     cells = {}
     for r in reach:
         cells.setdefault(r.grp, []).append((r.cell, r.far))
     cells = {g: (np.array([c for c, _ in v]), np.array([f for _, f in v])) for g, v in cells.items()}
 
-    limits = own.groupBy("vid").agg(F.count(F.lit(1)).alias("_n"), F.max("dist").alias("_d")).select(
-        "vid", F.when(F.col("_n") >= count, F.col("_d")).alias("limit"))
-    asking = freeze(placed.join(limits, "vid", "left").repartition(parts, "vid").mapInArrow(_asking(cells, centres), "vid long, grp string, limit double, cell int"))
-    near = _top(own.unionByName(_blocks(asking, placed, count, chunk)), count)
+    # few vectors go into smaller chunks, so that there is work for all tasks
+    context = rows.sparkSession.sparkContext
+    size = min(chunk, max(256, math.ceil(n / (4 * context.defaultParallelism))))
+    sizes = placed.groupBy("grp", "cell").agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias("_parts"))
+    parted = placed.join(sizes, ["grp", "cell"]).withColumn("part", F.pmod(F.xxhash64("vid"), F.col("_parts")).cast("int"))
+    chunks = freeze(parted.select("grp", "cell", "part", "vid", "vec").groupBy("grp", "cell", "part").applyInArrow(_chunk, CHUNKS))
+    count_of = sum(math.ceil(r.n / size) for r in reach)
+    own = freeze(chunks.repartition(max(1, min(count_of, 2000))).mapInArrow(
+        _own(count, cells, centres), f"{CHUNKS}, limits binary, asks array<int>, vid binary, near binary, dist binary"))
+
+    # pairs of chunks are read from the frozen tables, not shuffled; a task holds the chunks of one right piece
+    left = own.select("grp", "cell", "part", "vids", "vecs", "limits", "asks").coalesce(4 * context.defaultParallelism)
+    right = chunks.select(*[F.col(c).alias(f"{c}_row") for c in chunks.columns]).repartition(max(1, math.ceil(count_of / RIGHT)))
+    right = freeze(right)
+    other_part = (F.col("cell") == F.col("cell_row")) & (F.col("part") != F.col("part_row"))
+    pairs = left.join(right.hint("shuffle_replicate_nl"), (F.col("grp") == F.col("grp_row")) & (
+        other_part | F.array_contains("asks", F.col("cell_row")))).drop("asks", "grp_row")
+    found = rows.sparkSession.createDataFrame(pairs.rdd.mapPartitions(_others(count, cells, centres)), "vid binary, near binary, dist binary", verifySchema=False)
+    near = _top(own.select("vid", "near", "dist").unionByName(found).mapInArrow(_unpack, FOUND), count)
 
     # back from distinct vectors to ids: at most count x count per vector
     copies = distinct.select(F.col("vid").alias("near"), F.explode("ids").alias("neighbour"))

@@ -254,3 +254,19 @@ def test_training_does_not_see_test_rows(spark):
     forest = training.train(df, "2020-09-01", folds[:1], encoders.feature_pipeline_lr(["kind"], ["x"]),
                             lambda **p: regression.random_forest("y", numTrees=5, **p), [{"maxDepth": 3}], target="y")
     assert abs(sum(r.weight for r in forest.importances().collect()) - 1) < 1e-6
+
+
+def test_neighbour_search_does_not_shuffle_a_vector_to_every_chunk(spark):
+    """Random vectors rule no cell out; each used to be shuffled once for each chunk of all others."""
+    from holdshort.features import neighbours
+
+    rnd = np.random.default_rng(8)
+    points = {i: [float(x) for x in rnd.normal(size=12)] for i in range(600)}
+    df = spark.createDataFrame([(i, p) for i, p in points.items()], "i long, v array<double>")
+    found = nearest_neighbours(df, 3, "i", "v", pivots=30, chunk=20)
+    got = {}
+    for r in found.orderBy("rank").collect():
+        got.setdefault(r.i, []).append(r.neighbour)
+    assert got == brute_neighbours(points, 3)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroups" not in plan and not hasattr(neighbours, "_blocks")
