@@ -259,7 +259,7 @@ def nearest_neighbours(rows: DataFrame, k: int, id: str, vector: str, within: st
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(d.argmin(1), pa.int32()), pa.array(d.min(1))],
                                                  [*batch.schema.names, "cell", "far"])
 
-    spread = distinct.select("vid", "vec", "grp").repartition(parts, "vid")
+    spread = distinct.where("vid IS NOT NULL").select("vid", "vec", "grp").repartition(parts, "vid")
     placed = freeze(spread.mapInArrow(assign, "vid long, vec array<double>, grp string, cell int, far double"))
 
     # at most labels x pivots rows
